@@ -9,6 +9,7 @@ third of all rows costs a few lines, not a third of the work of one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,92 +68,82 @@ def name_clusters(
     return clusters.select(F.lit(NAME).alias("tier"), F.col("name").alias("tier_key"), "leader_name")
 
 
-class Resolution:
-    """Result of :func:`resolve`; every member is a lazy DataFrame.
+def _with_entity_key(df: DataFrame, clusters: DataFrame | None) -> DataFrame:
+    """Add ``entity_key``: the tier key, or the leader's name in the name tier."""
+    if clusters is None:
+        return df.withColumn("entity_key", F.col("tier_key"))
+    keyed = df.where(F.col("tier") != NAME).withColumn("entity_key", F.col("tier_key"))
+    named = (
+        df.where(F.col("tier") == NAME)
+        .join(clusters, ["tier", "tier_key"])
+        .withColumnRenamed("leader_name", "entity_key")
+    )
+    return keyed.unionByName(named.select(*keyed.columns))
 
-    ``order`` lists the columns that tell which row came first. ``pct`` is the
-    name similarity in percent; 100 matches equal names only.
+
+def _facets(signals: DataFrame, clusters: DataFrame | None) -> DataFrame:
+    """Rows per company and distinct value of each signal."""
+    lines = signals.groupBy(
+        "tier", "tier_key", "company_name", "phone_clean", "host", "category"
+    ).agg(F.count(F.lit(1)).alias("rows"), F.min("scrape_date").alias("first_seen"))
+    facets = F.array(
+        *[
+            F.struct(F.lit(kind).alias("kind"), F.col(column).alias("value"))
+            for kind, column in (
+                ("name", "company_name"),
+                ("phone", "phone_clean"),
+                ("host", "host"),
+                ("category", "category"),
+            )
+        ]
+    )
+    return (
+        _with_entity_key(lines, clusters)
+        .select("tier", "entity_key", "rows", "first_seen", F.explode(facets).alias("f"))
+        .groupBy("tier", "entity_key", "f.kind", "f.value")
+        .agg(F.sum("rows").alias("rows"), F.min("first_seen").alias("first_seen"))
+    )
+
+
+def build_entities(signals: DataFrame, clusters: DataFrame | None) -> DataFrame:
+    """One line per company. The most frequent value wins, the lowest on ties.
+
+    Three shuffles, each pre-aggregated on the map side: by full signal line,
+    by company and value, by company.
     """
 
-    def __init__(
-        self,
-        clean: DataFrame,
-        order: Sequence[str] = ROW_ORDER,
-        pct: int = 90,
-        nameless: str = "merge",
-        **tuning: int,
-    ):
-        if nameless not in ("merge", "singleton"):
-            raise ValueError("nameless must be 'merge' or 'singleton'")
-        signals = _single_out(add_signals(clean), nameless, order)
-        self._signals = signals
-        # One line per distinct combination of signals: all later work runs on these.
-        lines = signals.groupBy(
-            "tier", "tier_key", "company_name", "phone_clean", "host", "category"
-        ).agg(F.count(F.lit(1)).alias("rows"), F.min("scrape_date").alias("first_seen"))
-        self._clusters = None
-        if pct < 100:
-            self._clusters = cut(name_clusters(signals, order, pct, **tuning), "clusters")
-        self._lines = cut(self._with_entity_key(lines), "signals")
-        self.entities = cut(self._number_entities(), "entities")
-
-    def _with_entity_key(self, df: DataFrame) -> DataFrame:
-        """Add ``entity_key``: the tier key, or the leader's name in the name tier."""
-        if self._clusters is None:
-            return df.withColumn("entity_key", F.col("tier_key"))
-        keyed = df.where(F.col("tier") != NAME).withColumn("entity_key", F.col("tier_key"))
-        named = (
-            df.where(F.col("tier") == NAME)
-            .join(self._clusters, ["tier", "tier_key"])
-            .withColumnRenamed("leader_name", "entity_key")
-        )
-        return keyed.unionByName(named.select(*keyed.columns))
-
-    def _facets(self) -> DataFrame:
-        """Rows per company and distinct value of each signal."""
-        facets = F.array(
-            *[
-                F.struct(F.lit(kind).alias("kind"), F.col(column).alias("value"))
-                for kind, column in (
-                    ("name", "company_name"),
-                    ("phone", "phone_clean"),
-                    ("host", "host"),
-                    ("category", "category"),
-                )
-            ]
-        )
-        return (
-            self._lines.select("tier", "entity_key", "rows", "first_seen", F.explode(facets).alias("f"))
-            .groupBy("tier", "entity_key", "f.kind", "f.value")
-            .agg(F.sum("rows").alias("rows"), F.min("first_seen").alias("first_seen"))
+    def of(kind: str):
+        return (F.col("kind") == kind) & F.col("value").isNotNull()
+
+    def most_frequent(kind: str):
+        return F.min_by("value", F.when(of(kind), F.struct(-F.col("rows"), F.col("value"))))
+
+    grouped = (
+        _facets(signals, clusters)
+        .groupBy("tier", "entity_key")
+        .agg(
+            most_frequent("name").alias("canonical_name"),
+            most_frequent("phone").alias("canonical_phone"),
+            # at most one entry per canonical label and Unknown
+            text.joined_labels(F.when(of("category"), F.col("value"))).alias("categories"),
+            F.sum(F.when(F.col("kind") == "category", F.col("rows"))).alias("n_raw_rows"),
+            F.min("first_seen").alias("first_seen"),
+            F.count_if(of("phone")).alias("unique_phones"),
+            F.count_if(of("host")).alias("unique_domains"),
+            F.count_if(of("name")).alias("unique_names"),
         )
+    )
+    return common.dense_index(grouped, ["tier", "entity_key"], "entity_id")
 
-    def _number_entities(self) -> DataFrame:
-        """One line per company. The most frequent value wins, the lowest on ties."""
-
-        def of(kind: str):
-            return (F.col("kind") == kind) & F.col("value").isNotNull()
-
-        def most_frequent(kind: str):
-            rank = F.when(of(kind), F.struct(-F.col("rows"), F.col("value")))
-            return F.min_by("value", rank)
-
-        grouped = (
-            self._facets()
-            .groupBy("tier", "entity_key")
-            .agg(
-                most_frequent("name").alias("canonical_name"),
-                most_frequent("phone").alias("canonical_phone"),
-                # at most one entry per canonical label and Unknown
-                text.joined_labels(F.when(of("category"), F.col("value"))).alias("categories"),
-                F.sum(F.when(F.col("kind") == "category", F.col("rows"))).alias("n_raw_rows"),
-                F.min("first_seen").alias("first_seen"),
-                F.count_if(of("phone")).alias("unique_phones"),
-                F.count_if(of("host")).alias("unique_domains"),
-                F.count_if(of("name")).alias("unique_names"),
-            )
-        )
-        return common.dense_index(grouped, ["tier", "entity_key"], "entity_id")
+
+@dataclass
+class Resolution:
+    """Outcome of :func:`resolve`: row signals, name clusters (None for equal
+    names only) and one line per company. All members are DataFrames."""
+
+    signals: DataFrame
+    clusters: DataFrame | None
+    entities: DataFrame
 
     @property
     def entity_map(self) -> DataFrame:
@@ -200,7 +191,7 @@ class Resolution:
         once, so a hot key is only split, never multiplied.
         """
         ids = self.entities.select("tier", "entity_key", "entity_id")
-        rows = self._with_entity_key(self._signals).join(ids, ["tier", "entity_key"])
+        rows = _with_entity_key(self.signals, self.clusters).join(ids, ["tier", "entity_key"])
         return rows.select(*columns, "tier", "entity_id") if columns else rows.drop("entity_key", "tier_key")
 
 
@@ -223,6 +214,22 @@ def signal_counts(clean: DataFrame) -> DataFrame:
     )
 
 
-def resolve(clean: DataFrame, order: Sequence[str] = ROW_ORDER, pct: int = 90, **options) -> Resolution:
-    """Resolve clean rows to companies."""
-    return Resolution(clean, order, pct, **options)
+def resolve(
+    clean: DataFrame,
+    order: Sequence[str] = ROW_ORDER,
+    pct: int = 90,
+    nameless: str = "merge",
+    **tuning: int,
+) -> Resolution:
+    """Resolve the written clean table to companies.
+
+    ``order`` lists the columns that tell which row came first. ``pct`` is the
+    name similarity in percent; 100 matches equal names only. ``nameless`` says
+    whether rows without phone, site and name are one company (``merge``) or one
+    each (``singleton``).
+    """
+    if nameless not in ("merge", "singleton"):
+        raise ValueError("nameless must be 'merge' or 'singleton'")
+    signals = _single_out(add_signals(clean), nameless, order)
+    clusters = cut(name_clusters(signals, order, pct, **tuning), "clusters") if pct < 100 else None
+    return Resolution(signals, clusters, build_entities(signals, clusters))

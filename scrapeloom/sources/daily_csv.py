@@ -12,7 +12,7 @@ import csv
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,25 +43,28 @@ def normalise_header(cells: Sequence[str]) -> list[str]:
     return names
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """Path, name, size and date of each file; file contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return files.select(
+def _lineage(source_name: Column) -> list[Column]:
+    return [
         F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_name").alias("_source_file"),
-        F.col("length").alias("bytes"),
-    ).withColumn("_file_date", dates.date_from_file_name("_source_file"))
+        source_name.alias("_source_file"),
+        dates.date_from_file_name(source_name).alias("_file_date"),
+    ]
 
 
-def inspect_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+def list_files(reader: DataFrameReader, folder: str, source_name: Column) -> DataFrame:
+    """Path, name, date and size of each file; file contents are not read."""
+    files = reader.format("binaryFile").load(folder)
+    return files.select(*_lineage(source_name), F.col("length").alias("bytes"))
+
+
+def inspect_files(reader: DataFrameReader, folder: str) -> DataFrame:
     """Header line, encoding and quoting style of each file that has lines.
 
     ``kinds`` holds at most four combinations per file. A line with an odd
     number of quotes opens or closes a field that spans lines.
     """
     lines = (
-        spark.read.option("pathGlobFilter", pattern)
-        .option("ignoreCorruptFiles", True)
+        reader.option("ignoreCorruptFiles", True)
         .text(folder)
         .select(
             "value",
@@ -92,7 +95,12 @@ def inspect_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> D
 
 
 def _read_alike(
-    spark: SparkSession, paths: list[str], header: str, encoding: str, multi_line: bool
+    spark: SparkSession,
+    source_name: Column,
+    paths: list[str],
+    header: str,
+    encoding: str,
+    multi_line: bool,
 ) -> DataFrame:
     """One CSV scan over files of equal header, encoding and quoting style."""
     names = normalise_header(next(csv.reader([header])))
@@ -118,9 +126,7 @@ def _read_alike(
         *[cell.alias(name) for name, cell in cells.items()],
         *[F.lit(None).cast("string").alias(c) for c in CONTRACT if c not in cells],
         F.when(width > len(names), F.col("_record")).alias("_malformed"),
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_name").alias("_source_file"),
-        dates.date_from_file_name(F.col("_metadata.file_name")).alias("_file_date"),
+        *_lineage(source_name),
         F.col("_metadata.file_block_start").alias("_block_start"),
         F.monotonically_increasing_id().alias("_row_seq"),
     )
@@ -149,18 +155,30 @@ class Ingest:
     columns that files lack or add, and ``report`` one line per file.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, pattern: str = "*.csv", row_order: bool = False):
-        listing = cut(list_files(spark, folder, pattern), "files")
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        pattern: str = "*.csv",
+        row_order: bool = False,
+        recursive: bool = False,
+        source_name: Column | None = None,
+    ):
+        def reader() -> DataFrameReader:
+            return spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
+
+        source_name = F.col("_metadata.file_name") if source_name is None else source_name
+        listing = cut(list_files(reader(), folder, source_name), "files")
         if listing.isEmpty():
             raise FileNotFoundError(f"no {pattern} files in {folder}")
-        self.files = cut(listing.join(inspect_files(spark, folder, pattern), "_path", "left"), "files")
+        self.files = cut(listing.join(inspect_files(reader(), folder), "_path", "left"), "files")
         alike: dict[tuple[str, str, bool], list[str]] = {}
         metadata = self.files.where(F.col("header").isNotNull())
         for f in metadata.select("_path", "header", "encoding", "multi_line").orderBy("_path").toLocalIterator():
             alike.setdefault((f.header, f.encoding, f.multi_line), []).append(f._path)
         if not alike:
             raise ValueError(f"no {pattern} file in {folder} has any content")
-        parts = [_read_alike(spark, paths, *key) for key, paths in alike.items()]
+        parts = [_read_alike(spark, source_name, paths, *key) for key, paths in alike.items()]
         self._landed = cut(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), "landed")
         extra = [c for c in self._landed.columns if c not in CONTRACT and not c.startswith("_")]
         columns = [*CONTRACT, *extra, *LINEAGE, *(ROW_ORDER if row_order else ())]
@@ -206,6 +224,12 @@ class Ingest:
         )
 
 
-def ingest(spark: SparkSession, folder: str, pattern: str = "*.csv", row_order: bool = False) -> Ingest:
-    """Read a folder of daily files; see :class:`Ingest`."""
-    return Ingest(spark, folder, pattern, row_order)
+def ingest(spark: SparkSession, folder: str, **options) -> Ingest:
+    """Read a folder of daily files.
+
+    ``pattern`` selects file names; ``row_order`` keeps the position of each row
+    (needed to resolve names in order of appearance); ``recursive`` looks into
+    subfolders; ``source_name`` tells the daily file from the file metadata where
+    a day arrives in several parts.
+    """
+    return Ingest(spark, folder, **options)

@@ -13,6 +13,23 @@ def iso_date(value: Column | str) -> Column:
     return as_column(value).try_cast("date")
 
 
+def earliest(value: Column | str) -> Column:
+    """Aggregate: first date as text. Dates aggregate by hashing; a minimum of
+    texts would sort all rows first."""
+    return F.min(iso_date(value)).cast("string")
+
+
+def latest(value: Column | str) -> Column:
+    """Aggregate: last date as text."""
+    return F.max(iso_date(value)).cast("string")
+
+
+def odd_date(value: Column | str) -> Column:
+    """The text where it is not written as an ISO date, else NULL."""
+    c = as_column(value)
+    return F.when(~F.coalesce(iso_date(c).cast("string") == c, F.lit(False)), c)
+
+
 def week_start(day: Column | str) -> Column:
     """Monday of the ISO week, as text."""
     return F.date_trunc("week", as_column(day)).cast("date").cast("string")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +28,7 @@ SUMMARY_COLUMNS = ("phone_clean", "email_clean", "website_clean", "city", "emplo
 
 
 def is_header_row(columns: tuple[str, ...] = HEADER_COLUMNS) -> Column:
-    hits = [F.col(c).eqNullSafe(c) for c in columns]
-    return hits[0] if len(hits) == 1 else F.array_contains(F.array(*hits), True)
+    return reduce(or_, [F.col(c).eqNullSafe(c) for c in columns])
 
 
 def drop_header_rows(df: DataFrame) -> DataFrame:

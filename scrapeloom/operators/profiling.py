@@ -113,7 +113,7 @@ def category_variants(raw: DataFrame) -> DataFrame:
             contact.clean_category("category").alias("canonical"),
         )
         .agg(
-            F.min("scrape_date").alias("first_seen"),
+            dates.earliest("scrape_date").alias("first_seen"),
             F.count_distinct("_source_file").alias("n_files"),
             F.count(F.lit(1)).alias("row_count"),
         )
@@ -123,7 +123,7 @@ def category_variants(raw: DataFrame) -> DataFrame:
 def malformed_emails(clean: DataFrame) -> DataFrame:
     """Rows per e-mail flag with the first day of each."""
     return clean.groupBy("email_clean_flag").agg(
-        F.count(F.lit(1)).alias("row_count"), F.min("scrape_date").alias("first_seen")
+        F.count(F.lit(1)).alias("row_count"), dates.earliest("scrape_date").alias("first_seen")
     )
 
 
@@ -159,12 +159,12 @@ def phone_stability(clean: DataFrame, key: str = "host") -> DataFrame:
         "name": F.nullif(text.normalise_name("company_name"), F.lit("")),
     }[key]
     seen = (
-        clean.select(company.alias("company"), "phone_clean", "scrape_date")
+        clean.select(company.alias("company"), "phone_clean", dates.iso_date("scrape_date").alias("day"))
         .where("company is not null and phone_clean is not null")
         .groupBy("company", "phone_clean")
         .agg(
-            F.min("scrape_date").alias("first_seen"),
-            F.max("scrape_date").alias("last_seen"),
+            F.min("day").alias("first_seen"),
+            F.max("day").alias("last_seen"),
             F.count(F.lit(1)).alias("rows"),
         )
     )
@@ -172,8 +172,8 @@ def phone_stability(clean: DataFrame, key: str = "host") -> DataFrame:
         seen.groupBy("company")
         .agg(
             F.count(F.lit(1)).alias("unique_phones"),
-            F.min("first_seen").alias("first_seen"),
-            F.max("last_seen").alias("last_seen"),
+            F.min("first_seen").cast("string").alias("first_seen"),
+            F.max("last_seen").cast("string").alias("last_seen"),
             F.sum("rows").alias("row_count"),
         )
         .where("unique_phones > 1")

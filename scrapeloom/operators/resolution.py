@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import contact, text
+from ..functions import contact, dates, text
 from ..session import cut
 from . import common, similar_names
 
@@ -57,12 +57,16 @@ def name_clusters(
 
     Names are taken in order of first appearance.
     """
-    first = F.min(F.struct(*order)) if len(order) > 1 else F.min(order[0])
+    *outer, inner = order
     names = (
         signals.where(F.col("tier") == NAME)
-        .groupBy(F.col("tier_key").alias("name"))
-        .agg(first.alias("_first"))
+        .groupBy(F.col("tier_key").alias("name"), *outer)
+        .agg(F.min(inner).alias(inner))
     )
+    if outer:
+        names = names.groupBy("name").agg(F.min(F.struct(*order)).alias("_first"))
+    else:
+        names = names.withColumnRenamed(inner, "_first")
     numbered = cut(common.dense_index(names, ["_first", "name"], "ord").select("ord", "name"), "names")
     clusters = similar_names.leader_clusters(numbered, pct, **tuning)
     return clusters.select(F.lit(NAME).alias("tier"), F.col("name").alias("tier_key"), "leader_name")
@@ -82,10 +86,22 @@ def _with_entity_key(df: DataFrame, clusters: DataFrame | None) -> DataFrame:
 
 
 def _facets(signals: DataFrame, clusters: DataFrame | None) -> DataFrame:
-    """Rows per company and distinct value of each signal."""
+    """Rows and first day per company and distinct value of each signal.
+
+    Days are kept as dates, which aggregate by hashing; texts that are no ISO
+    date travel as values of their own.
+    """
+    odd_date = dates.odd_date("scrape_date")
+    day = F.when(odd_date.isNull(), dates.iso_date("scrape_date"))
     lines = signals.groupBy(
-        "tier", "tier_key", "company_name", "phone_clean", "host", "category"
-    ).agg(F.count(F.lit(1)).alias("rows"), F.min("scrape_date").alias("first_seen"))
+        "tier",
+        "tier_key",
+        "company_name",
+        "phone_clean",
+        "host",
+        "category",
+        odd_date.alias("odd_date"),
+    ).agg(F.count(F.lit(1)).alias("rows"), F.min(day).alias("first_day"))
     facets = F.array(
         *[
             F.struct(F.lit(kind).alias("kind"), F.col(column).alias("value"))
@@ -94,14 +110,16 @@ def _facets(signals: DataFrame, clusters: DataFrame | None) -> DataFrame:
                 ("phone", "phone_clean"),
                 ("host", "host"),
                 ("category", "category"),
+                ("odd_date", "odd_date"),
             )
         ]
     )
     return (
         _with_entity_key(lines, clusters)
-        .select("tier", "entity_key", "rows", "first_seen", F.explode(facets).alias("f"))
+        .select("tier", "entity_key", "rows", "first_day", F.explode(facets).alias("f"))
+        .where("f.value is not null or f.kind = 'category'")
         .groupBy("tier", "entity_key", "f.kind", "f.value")
-        .agg(F.sum("rows").alias("rows"), F.min("first_seen").alias("first_seen"))
+        .agg(F.sum("rows").alias("rows"), F.min("first_day").alias("first_day"))
     )
 
 
@@ -127,7 +145,9 @@ def build_entities(signals: DataFrame, clusters: DataFrame | None) -> DataFrame:
             # at most one entry per canonical label and Unknown
             text.joined_labels(F.when(of("category"), F.col("value"))).alias("categories"),
             F.sum(F.when(F.col("kind") == "category", F.col("rows"))).alias("n_raw_rows"),
-            F.min("first_seen").alias("first_seen"),
+            F.least(
+                F.min("first_day").cast("string"), F.min(F.when(of("odd_date"), F.col("value")))
+            ).alias("first_seen"),
             F.count_if(of("phone")).alias("unique_phones"),
             F.count_if(of("host")).alias("unique_domains"),
             F.count_if(of("name")).alias("unique_names"),

@@ -43,18 +43,39 @@ def normalise_header(cells: Sequence[str]) -> list[str]:
     return names
 
 
+def _decoded(uri: Column | str) -> Column:
+    """Path or name without URI escapes; local paths with a single slash."""
+    plain = F.url_decode(F.replace(F.col(uri) if isinstance(uri, str) else uri, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^file:/+", "file:/")
+
+
+def file_name() -> Column:
+    """Name of the file a row was read from."""
+    return _decoded("_metadata.file_name")
+
+
 def _lineage(source_name: Column) -> list[Column]:
     return [
-        F.col("_metadata.file_path").alias("_path"),
+        _decoded("_metadata.file_path").alias("_path"),
         source_name.alias("_source_file"),
         dates.date_from_file_name(source_name).alias("_file_date"),
     ]
 
 
 def list_files(reader: DataFrameReader, folder: str, source_name: Column) -> DataFrame:
-    """Path, name, date and size of each file; file contents are not read."""
-    files = reader.format("binaryFile").load(folder)
-    return files.select(*_lineage(source_name), F.col("length").alias("bytes"))
+    """Path, name, date and size of each file; file contents are not read.
+
+    The paths come from the reader's own listing, as a scan leaves out files
+    without content.
+    """
+    found = reader.format("binaryFile").load(folder)
+    spark = found.sparkSession
+    paths = spark.createDataFrame([(p,) for p in found.inputFiles()], "path string")
+    name = F.element_at(F.split("path", "/"), -1)
+    metadata = F.struct(F.col("path").alias("file_path"), name.alias("file_name"))
+    listed = paths.select(metadata.alias("_metadata")).select(*_lineage(source_name))
+    sizes = found.select(_decoded("_metadata.file_path").alias("_path"), F.col("length").alias("bytes"))
+    return listed.join(sizes, "_path", "left").fillna(0, ["bytes"])
 
 
 def inspect_files(reader: DataFrameReader, folder: str) -> DataFrame:
@@ -68,7 +89,7 @@ def inspect_files(reader: DataFrameReader, folder: str) -> DataFrame:
         .text(folder)
         .select(
             "value",
-            F.col("_metadata.file_path").alias("_path"),
+            _decoded("_metadata.file_path").alias("_path"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("seq"),
         )
@@ -139,8 +160,8 @@ def apply_date_fallback(rows: DataFrame, file_key: str = "_source_file") -> Data
     bring all rows of a file into one task.
     """
     undated = (
-        rows.groupBy(file_key)
-        .agg(F.count("scrape_date").alias("dated"), F.any_value("_file_date").alias("_fallback"))
+        rows.groupBy(file_key, F.col("_file_date").alias("_fallback"))
+        .agg(F.count("scrape_date").alias("dated"))
         .where((F.col("dated") == 0) & (F.coalesce("_fallback", F.lit("")) != ""))
         .select(file_key, "_fallback")
     )
@@ -167,7 +188,7 @@ class Ingest:
         def reader() -> DataFrameReader:
             return spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive)
 
-        source_name = F.col("_metadata.file_name") if source_name is None else source_name
+        source_name = file_name() if source_name is None else source_name
         listing = cut(list_files(reader(), folder, source_name), "files")
         if listing.isEmpty():
             raise FileNotFoundError(f"no {pattern} files in {folder}")

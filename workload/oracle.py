@@ -146,6 +146,8 @@ _CTES = {
     "grouped": _GROUPED,
     "entities": _ENTITIES,
     "entity_map": _MAP,
+    "all_names": """select row_number() over (order by min(event_id)) as ord, normalised_name as name
+        from keyed group by normalised_name""",
     "dim_date": _DIM_DATE,
     "dim_category": _DIM_CATEGORY,
     "dim_location": _DIM_LOCATION,
@@ -154,9 +156,6 @@ _CTES = {
         count(distinct f.phone_clean) as unique_phones from fact f
         join dim_date dd on f.date_id = dd.date_id join dim_category dc on f.category_id = dc.category_id
         group by all""",
-    "page_names": f"""select row_number() over (order by min(page_id)) as ord, name from (
-        select page_id, {_name("regexp_extract(html, '<title>(.*?)</title>', 1)")} as name from pages)
-        group by name""",
 }
 
 
@@ -412,11 +411,12 @@ ORACLES: dict[str, str] = {
         """select k.event_id, k.tier, e.entity_id from keyed k
         join entities e on e.tier = k.tier and e.tier_key = k.tier_key""",
     ),
-    "fuzzy_name_pairs": "with page_names as ("
-    + _CTES["page_names"]
-    + """) select a.ord as later, b.ord as earlier, a.name as later_name, b.name as earlier_name
-        from page_names a join page_names b on a.ord > b.ord
+    "fuzzy_name_pairs": _upto(
+        "all_names",
+        """select a.ord as later, b.ord as earlier, a.name as later_name, b.name as earlier_name
+        from all_names a join all_names b on a.ord > b.ord
         and levenshtein(a.name, b.name) <= (length(a.name) + length(b.name)) // 10""",
+    ),
     "dim_date": _upto(
         "dim_date", "select * replace (cast(full_date as string) as full_date) from dim_date"
     ),

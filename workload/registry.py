@@ -340,24 +340,22 @@ def entity_assignments(s: Stages) -> DataFrame:
     return s.resolution().assignments("event_id")
 
 
-def _page_names(s: Stages) -> DataFrame:
-    title = F.regexp_extract("html", "<title>(.*?)</title>", 1)
-    names = (
-        s.table("pages")
-        .groupBy(text.normalise_name(title).alias("name"))
-        .agg(F.min("page_id").alias("first_page"))
+def _all_names(s: Stages) -> DataFrame:
+    """Distinct names of all rows, in order of first appearance."""
+    names = s.clean.groupBy(text.normalise_name("company_name").alias("name")).agg(
+        F.min("event_id").alias("first_row")
     )
-    return cut(common.dense_index(names, ["first_page"], "ord").select("ord", "name"), "names")
+    return common.dense_index(names, ["first_row"], "ord").select("ord", "name")
 
 
 @query
 def fuzzy_name_pairs(s: Stages) -> DataFrame:
-    return similar_names.similar_pairs(_page_names(s)).select("later", "earlier", "later_name", "earlier_name")
+    return similar_names.similar_pairs(_all_names(s)).select("later", "earlier", "later_name", "earlier_name")
 
 
 @query
 def fuzzy_name_clusters(s: Stages) -> DataFrame:
-    return similar_names.leader_clusters(_page_names(s))
+    return similar_names.leader_clusters(_all_names(s))
 
 
 @query

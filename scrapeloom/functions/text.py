@@ -56,17 +56,24 @@ def null_csv_na(value: Column | str, tokens: Iterable[str] = CSV_NA_TOKENS) -> C
 
 
 def tidy(value: Column | str, tokens: Iterable[str] = NULL_TOKENS) -> Column:
-    """Trimmed text, NULL where the text is null-like."""
-    c = as_column(value)
-    return F.when(~is_null_like(c, tokens), strip(c))
+    """Trimmed text, NULL where the text is null-like.
+
+    Only texts short enough to be a token are lower-cased and looked up.
+    """
+    tokens = list(tokens)
+    trimmed = strip(value)
+    longest = max(map(len, tokens))
+    return F.when(F.length(trimmed) > longest, trimmed).when(
+        ~F.lower(trimmed).isin(*tokens), trimmed
+    )
 
 
 def normalise_name(value: Column | str) -> Column:
     """Company name reduced to lower-case words; NULL becomes the empty text."""
-    spaces = f"[{WHITESPACE}]"
-    words = strip(F.lower(as_column(value)))
-    words = F.regexp_replace(words, r"[^\p{L}\p{N}_" + WHITESPACE + "]", "")
-    return F.coalesce(F.regexp_replace(words, spaces + "+", " "), F.lit(""))
+    other = WHITESPACE.replace(" ", "")
+    words = F.trim(F.translate(F.lower(as_column(value)), other, " " * len(other)))
+    letters = F.regexp_replace(words, r"[^\p{L}\p{N}_ ]+", "")
+    return F.coalesce(F.regexp_replace(letters, "  +", " "), F.lit(""))
 
 
 def known_city(value: Column | str) -> Column:

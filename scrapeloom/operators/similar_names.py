@@ -33,91 +33,97 @@ from ..functions.similarity import similarity_ratio
 from ..session import cut
 
 # Names beyond this many characters meet on q-grams.
-PIECE_LENGTH_LIMIT = 64
-# A piece whose two sides would make more pairs than this is refined.
-CROWDED_PAIRS = 25_000_000
-FIRST_BLOCK = 5_000
+PIECE_LENGTH_LIMIT = 100
+# A piece that would make more pairs than this is refined, and so are the finer
+# pieces, this many times at most; then names are taken in smaller blocks.
+CROWDED_PAIRS = 10_000_000
+REFINE_LEVELS = 2
+FIRST_BLOCK = 10_000
 
 
 def _budget(pct: int, total: str) -> str:
     return f"({100 - pct} * ({total}) div 100)"
 
 
-def _cut_points(df: DataFrame) -> DataFrame:
-    """Piece number ``i`` of ``k + 1`` pieces over ``na`` characters."""
-    return df.withColumn("i", F.expr("explode(sequence(0, k))")).withColumns(
+_PIECE_COLUMNS = ["ord", "n", "odd", "at", "l", "k", "na", "nb"]
+
+
+def _measured(names: DataFrame) -> DataFrame:
+    """Add the length ``n`` and ``odd``: one bit per character class, set where
+    the class occurs an odd number of times. An insertion or a deletion flips
+    one bit, so similar names differ in few of them."""
+    code = "if(ascii(c) < 64, ascii(c) - 48, ascii(c))"
+    flip = f"shiftleft(1L, int(pmod({code}, 64)))"
+    odd = f"aggregate(split(name, ''), 0L, (bits, c) -> if(c = '', bits, bits ^ {flip}))"
+    return names.select("ord", "name", F.length("name").alias("n"), F.expr(odd).alias("odd"))
+
+
+def _pieces(df: DataFrame, text: str, longer: bool, swaps: bool) -> DataFrame:
+    """One row per piece: of ``text`` cut into ``k + 1`` parts for the shorter
+    name, and for the longer one at every place where such a part may lie.
+
+    The first part free of edits whose number is ``i`` has exactly ``i`` edits
+    before it, so it moves by at most ``i`` to either side, and by what the
+    edits behind it leave over. Without replacements (``swaps``) it moves by an
+    even or odd number of places just as ``i`` is even or odd.
+    """
+    cut_up = df.withColumn("i", F.expr("explode(sequence(0, k))")).withColumns(
         {
             "p": F.expr("int(i * na div (k + 1))"),
             "l": F.expr("int((i + 1) * na div (k + 1) - i * na div (k + 1))"),
         }
     )
+    if longer:
+        low = "greatest(-i, nb - na - k + i, -p)"
+        if not swaps:
+            low = f"{low} + abs({low} - i) % 2"
+        cut_up = (
+            cut_up.withColumns({"lo": F.expr(low), "hi": F.expr("least(i, nb - na + k - i, nb - l - p)")})
+            .where("lo <= hi")
+            .withColumn("s", F.expr(f"explode(sequence(lo, hi, {1 if swaps else 2}))"))
+            .withColumn("at", F.expr("p + s"))
+        )
+    else:
+        cut_up = cut_up.withColumnRenamed("p", "at")
+    block = F.expr(f"xxhash64(block, i, substring({text}, at + 1, l))")
+    return cut_up.select(block.alias("block"), *_PIECE_COLUMNS)
 
 
-_PIECE_COLUMNS = ["block", "ord", "name", "rest", "k", "na", "nb"]
-
-
-def _take(df: DataFrame, start: str) -> DataFrame:
-    """Move ``l`` characters at ``start`` from ``rest`` into the block key."""
-    return df.select(
-        F.expr(f"xxhash64(block, i, substring(rest, {start} + 1, l))").alias("block"),
+def _without_piece(df: DataFrame, names: DataFrame) -> DataFrame:
+    """What is left of the names once the piece they share is taken out."""
+    return df.join(names.select("ord", "name"), "ord").select(
+        "block",
         "ord",
-        "name",
-        F.expr(f"concat(substring(rest, 1, {start}), substring(rest, {start} + l + 1))").alias("rest"),
+        "n",
+        "odd",
+        F.expr("concat(substring(name, 1, at), substring(name, at + l + 1))").alias("rest"),
         "k",
         F.expr("na - l").alias("na"),
         F.expr("nb - l").alias("nb"),
     )
 
 
-def _cut_shorter(df: DataFrame) -> DataFrame:
-    return _take(_cut_points(df), "p")
-
-
-def _cut_longer(df: DataFrame) -> DataFrame:
-    """All places where the longer name may hold a piece of the shorter one."""
-    windows = (
-        _cut_points(df)
-        .withColumns(
-            {
-                "lo": F.expr("greatest(-i, nb - na - k + i, -p)"),
-                "hi": F.expr("least(i, nb - na + k - i, nb - l - p)"),
-            }
-        )
-        .where("lo <= hi")
-        .withColumn("s", F.expr("explode(sequence(lo, hi))"))
-        .withColumn("at", F.expr("p + s"))
-    )
-    return _take(windows, "at")
+def _piece_sides(names: DataFrame, pct: int, limit: int, swaps: bool) -> tuple[DataFrame, DataFrame]:
+    """Pieces of ``names`` as the shorter and as the longer of a pair."""
+    base = _measured(names).where(f"n between 1 and {limit}")
+    longest = f"least({limit}, n * {200 - pct} div {pct})"
+    shortest = f"int(ceil(n * {pct} / {200 - pct}))"
+    budget = _budget(pct, "na + nb")
+    if not swaps:  # insertions and deletions add up to an even or odd number as the lengths demand
+        budget = f"{budget} - ({budget} - (nb - na)) % 2"
 
-
-def _piece_sides(names: DataFrame, pct: int, limit: int) -> tuple[DataFrame, DataFrame]:
-    base = names.select("ord", "name", F.length("name").alias("n")).where("n > 0")
-    shorter = (
-        base.withColumn("na", F.col("n"))
-        .withColumn("nb", F.expr(f"explode(sequence(n, greatest(n, least({limit}, n * {200 - pct} div {pct}))))"))
-        .where(f"nb <= {limit}")
-    )
-    longer = (
-        base.where(f"n <= {limit}")
-        .withColumn("nb", F.col("n"))
-        .withColumn("na", F.expr(f"explode(sequence(int(ceil(n * {pct} / {200 - pct})), n))"))
-    )
-
-    def start(df: DataFrame) -> DataFrame:
+    def start(df: DataFrame, na: str, nb: str) -> DataFrame:
         return (
-            df.withColumns(
-                {
-                    "na": F.col("na").cast("int"),
-                    "nb": F.col("nb").cast("int"),
-                    "k": F.expr(f"int({_budget(pct, 'na + nb')})"),
-                    "rest": F.col("name"),
-                }
-            )
+            df.withColumn("na", F.expr(na))
+            .withColumn("nb", F.expr(nb))
+            .withColumn("k", F.expr(f"int({budget})"))
             .where("k > 0 and nb - na <= k")
             .withColumn("block", F.expr("xxhash64(na, nb)"))
         )
 
-    return _cut_shorter(start(shorter)), _cut_longer(start(longer))
+    shorter = start(base, "n", f"explode(sequence(n, int(greatest(n, {longest}))))")
+    longer = start(base, f"explode(sequence({shortest}, n))", "n")
+    return _pieces(shorter, "name", False, swaps), _pieces(longer, "name", True, swaps)
 
 
 def _gram_side(names: DataFrame, frequency: DataFrame, pct: int, size: int) -> DataFrame:
@@ -138,7 +144,7 @@ def _gram_side(names: DataFrame, frequency: DataFrame, pct: int, size: int) -> D
     return (
         grams.withColumn("rank", F.row_number().over(rarity))
         .where(f"rank <= {keep}")
-        .select(F.expr("xxhash64(gram, copy)").alias("block"), "ord", "name")
+        .select(F.expr("xxhash64(gram, copy)").alias("block"), "ord", "n", "odd")
     )
 
 
@@ -147,9 +153,10 @@ def _grams(names: DataFrame, size: int) -> DataFrame:
     pad = "\u0001" * (size - 1)
     padded = F.concat(F.lit(pad), F.col("name"), F.lit(pad))
     return (
-        names.select("ord", "name", F.length("name").alias("n"), padded.alias("t"))
+        _measured(names)
+        .select("ord", "n", "odd", padded.alias("t"))
         .withColumn("at", F.expr(f"explode(sequence(1, n + {size - 1}))"))
-        .select("ord", "name", "n", F.expr(f"substring(t, at, {size})").alias("gram"), "at")
+        .select("ord", "n", "odd", F.expr(f"substring(t, at, {size})").alias("gram"), "at")
         .withColumn("copy", F.row_number().over(Window.partitionBy("ord", "gram").orderBy("at")))
     )
 
@@ -157,56 +164,82 @@ def _grams(names: DataFrame, size: int) -> DataFrame:
 Sides = tuple[DataFrame, DataFrame]
 
 
-def _crowded(sides: Sides) -> DataFrame:
-    """Blocks that would make more than ``CROWDED_PAIRS`` pairs."""
+def _block_sizes(sides: Sides) -> DataFrame:
+    """Rows ``a`` and ``b`` of each block that has both."""
     left, right = (
         side.groupBy("block").agg(F.count(F.lit(1)).alias(n)) for side, n in zip(sides, ("a", "b"))
     )
-    return left.join(right, "block").where(F.col("a") * F.col("b") > CROWDED_PAIRS).select("block")
+    return left.join(right, "block")
 
 
-def _refine(sides: Sides) -> list[Sides]:
+def _refine(sides: Sides, names: DataFrame, swaps: bool) -> list[Sides]:
     """Replace crowded pieces by pieces of what is left of the names.
 
     Blocks whose rest is too short to cut hold names alike in all but a few
     characters; they stay as they are.
     """
-    sides = tuple(cut(side, "pieces") for side in sides)
-    crowded = cut(_crowded(sides), "crowded")
-    if crowded.isEmpty():
-        return [sides]
-    calm = tuple(side.join(crowded, "block", "left_anti") for side in sides)
-    hot = [side.join(crowded, "block", "left_semi") for side in sides]
-    tight = tuple(side.where("na <= k") for side in hot)
-    finer = (_cut_shorter(hot[0].where("na > k")), _cut_longer(hot[1].where("na > k")))
-    return [calm, tight, tuple(cut(side, "pieces") for side in finer)]
-
-
-def _meet(sides: Sides, pct: int) -> DataFrame:
-    """Pairs meeting in a block whose edit distance stays within the budget."""
+    found = []
+    for _ in range(REFINE_LEVELS):
+        sides = tuple(cut(side, "pieces") for side in sides)
+        crowded = cut(_block_sizes(sides).where(F.col("a") * F.col("b") > CROWDED_PAIRS).select("block"), "crowded")
+        if crowded.isEmpty():
+            break
+        found.append(tuple(side.join(crowded, "block", "left_anti") for side in sides))
+        hot = [side.join(crowded, "block", "left_semi") for side in sides]
+        found.append(tuple(side.where("na - l <= k") for side in hot))
+        rests = [_without_piece(side.where("na - l > k"), names) for side in hot]
+        sides = tuple(_pieces(rest, "rest", longer, swaps) for rest, longer in zip(rests, (False, True)))
+    return [*found, tuple(cut(side, "pieces") for side in sides)]
+
+
+def _meet(sides: Sides, pct: int, swaps: bool) -> DataFrame:
+    """Pairs that share a block, as (later, earlier); a pair may come often.
+
+    Lengths and character parities are compared inside the join, which drops
+    nearly all pairs that merely share a common piece.
+    """
     a, b = (
-        side.select("block", F.col("ord").alias(f"ord_{x}"), F.col("name").alias(f"name_{x}"))
+        side.select("block", *[F.col(c).alias(f"{c}_{x}") for c in ("ord", "n", "odd")])
         for side, x in zip(sides, "ab")
     )
-    budget = _budget(pct, "length(name_a) + length(name_b)")
-    near = a.join(b, "block").where(
-        f"ord_a <> ord_b and levenshtein(name_a, name_b, int({budget})) >= 0"
+    budget = _budget(pct, "n_a + n_b")
+    alike = f"bit_count(odd_a ^ odd_b) <= {2 if swaps else 1} * {budget}"
+    return (
+        a.join(b, "block")
+        .where(f"ord_a <> ord_b and abs(n_a - n_b) <= {budget} and {alike}")
+        .select(F.greatest("ord_a", "ord_b").alias("later"), F.least("ord_a", "ord_b").alias("earlier"))
     )
-    return near.select(
-        F.greatest("ord_a", "ord_b").alias("later"),
-        F.least("ord_a", "ord_b").alias("earlier"),
-        F.expr("if(ord_a > ord_b, name_a, name_b)").alias("later_name"),
-        F.expr("if(ord_a > ord_b, name_b, name_a)").alias("earlier_name"),
+
+
+def _within_budget(pairs: DataFrame, names: DataFrame, pct: int) -> DataFrame:
+    """Each pair once, with its names, if their edit distance allows."""
+    budget = _budget(pct, "length(later_name) + length(earlier_name)")
+    later = names.select(F.col("ord").alias("later"), F.col("name").alias("later_name"))
+    earlier = names.select(F.col("ord").alias("earlier"), F.col("name").alias("earlier_name"))
+    # Few bytes per pair but much work: keep them spread over all tasks.
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        pairs.distinct()
+        .repartition(tasks, "later")
+        .join(later, "later")
+        .join(earlier, "earlier")
+        .where(f"levenshtein(later_name, earlier_name, int({budget})) >= 0")
     )
 
 
 class NameJoin:
-    """Similarity join over one set of distinct names (``ord``, ``name``)."""
+    """Similarity join over one set of distinct names (``ord``, ``name``).
+
+    The similarity ratio counts insertions and deletions. ``swaps`` also finds
+    pairs that are within the budget only if replacements count as one edit.
+    """
 
-    def __init__(self, names: DataFrame, pct: int = 90, limit: int = PIECE_LENGTH_LIMIT):
+    def __init__(
+        self, names: DataFrame, pct: int = 90, limit: int = PIECE_LENGTH_LIMIT, swaps: bool = False
+    ):
         if not 75 <= pct <= 100:
             raise ValueError("the piece and gram bounds hold for thresholds from 75 to 100 percent")
-        self.pct, self.limit = pct, limit
+        self.pct, self.limit, self.swaps = pct, limit, swaps
         self.gram_size = min(4, max(1, -(-100 // max(1, 200 - 2 * pct)) - 1))
         # pairs whose longer name exceeds the limit have both names above this
         self._long = F.length("name") * (200 - pct) > limit * pct
@@ -218,14 +251,15 @@ class NameJoin:
 
     def _sides(self, left: DataFrame, right: DataFrame, large: bool) -> list[Sides]:
         """Block sides under which every similar (left, right) pair meets."""
-        short_l, long_l = _piece_sides(left, self.pct, self.limit)
+        short_l, long_l = _piece_sides(left, self.pct, self.limit, self.swaps)
         if left is right:
             found = [(short_l, long_l)]
         else:
-            short_r, long_r = _piece_sides(right, self.pct, self.limit)
+            short_r, long_r = _piece_sides(right, self.pct, self.limit, self.swaps)
             found = [(short_l, long_r), (short_r, long_l)]
         if large:
-            found = [finer for sides in found for finer in _refine(sides)]
+            names = left if left is right else left.unionByName(right)
+            found = [finer for sides in found for finer in _refine(sides, names, self.swaps)]
         if self._frequency is not None:
             grams = [
                 _gram_side(names.where(self._long), self._frequency, self.pct, self.gram_size)
@@ -241,11 +275,14 @@ class NameJoin:
 
         With ``relent``, None when even the finest blocks stay crowded.
         """
-        sides = self._sides(left, left if right is None else right, large)
-        if relent and any(not _crowded(s).isEmpty() for s in sides):
+        right = left if right is None else right
+        sides = self._sides(left, right, large)
+        if relent and any(
+            not _block_sizes(s).where(F.col("a") * F.col("b") > CROWDED_PAIRS).isEmpty() for s in sides
+        ):
             return None
-        pairs = reduce(DataFrame.unionByName, [_meet(s, self.pct) for s in sides])
-        return pairs.dropDuplicates(["later", "earlier"])
+        pairs = reduce(DataFrame.unionByName, [_meet(s, self.pct, self.swaps) for s in sides])
+        return _within_budget(pairs, left if left is right else left.unionByName(right), self.pct)
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs that reach the similarity threshold, as (later, earlier)."""
@@ -254,8 +291,9 @@ class NameJoin:
 
 
 def similar_pairs(names: DataFrame, pct: int = 90, limit: int = PIECE_LENGTH_LIMIT) -> DataFrame:
-    """All pairs of names within the edit budget of ``pct``."""
-    return NameJoin(names, pct, limit).candidates(names)
+    """All pairs of names whose edit distance is within the budget of ``pct``."""
+    large = names.limit(FIRST_BLOCK + 1).count() > FIRST_BLOCK
+    return NameJoin(names, pct, limit, swaps=True).candidates(names, large=large)
 
 
 def _walk(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -32,14 +32,16 @@ def run_stages(
     run: str,
     blocking: tuple[str, ...] = BLOCKING,
     pct: int = 90,
+    **reading,
 ) -> RunResult:
     """Build all tables of a run from a folder of daily files.
 
-    Each stage is written once and read back by the next. The run is published
+    ``reading`` is passed on to :func:`ingest`. Each stage is written once and
+    read back by the next. The run is published
     only if every table holds the rows handed to its writer and no blocking
     gate fails.
     """
-    loaded = ingest(spark, folder, row_order=True)
+    loaded = ingest(spark, folder, row_order=True, **reading)
     checks = [warehouse.write(run, "raw_scrape", loaded.raw)]
     warehouse.write(run, "ingest_report", loaded.report)
     warehouse.write(run, "schema_drift", loaded.drift)

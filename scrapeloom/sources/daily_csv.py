@@ -54,6 +54,12 @@ def file_name() -> Column:
     return _decoded("_metadata.file_name")
 
 
+def day_folder_name(prefix: str = "scrape_") -> Column:
+    """Daily file name for days that arrive in parts, as ``.../day=<date>/<part>.csv``."""
+    day = F.regexp_extract(_decoded("_metadata.file_path"), "/day=([^/]+)/", 1)
+    return F.concat(F.lit(prefix), day, F.lit(".csv"))
+
+
 def _lineage(source_name: Column) -> list[Column]:
     return [
         _decoded("_metadata.file_path").alias("_path"),

@@ -234,7 +234,7 @@ def union_by_name_drift(s: Stages) -> DataFrame:
     return early.unionByName(s.landing.where(late), allowMissingColumns=True)
 
 
-def _exported(s: Stages) -> str:
+def export_days(s: Stages) -> str:
     """Write the landing rows as daily CSV files, in the ways they arrive.
 
     Headers differ in case and blanks, ``source_url`` is absent before it was
@@ -263,9 +263,8 @@ def _exported(s: Stages) -> str:
 
 
 def _ingested(s: Stages) -> daily_csv.Ingest:
-    day = F.regexp_extract("_metadata.file_path", "/day=([^/]+)/", 1)
     return daily_csv.ingest(
-        s.spark, _exported(s), recursive=True, source_name=F.concat(F.lit("scrape_"), day, F.lit(".csv"))
+        s.spark, export_days(s), recursive=True, source_name=daily_csv.day_folder_name()
     )
 
 

@@ -58,9 +58,14 @@ def preview(df: DataFrame, k: int, *order: str) -> DataFrame:
 
 
 def describe_columns(df: DataFrame) -> DataFrame:
-    """One row per column with its SQL type."""
-    rows = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "column_name string, column_type string")
+    """One row per column with its SQL type and the rows in which it is filled."""
+    types = F.create_map(*[F.lit(x) for f in df.schema for x in (f.name, f.dataType.simpleString())])
+    filled = count_where(df, {c: F.col(c).isNotNull() for c in df.columns})
+    return filled.select(
+        F.col("name").alias("column_name"),
+        types[F.col("name")].alias("column_type"),
+        F.col("hits").alias("filled_rows"),
+    )
 
 
 def count_where(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_LOCAL_FOLDERS: dict[str, str] = {}  # per application, local masters only
 
 
 def build_session(app: str = "scrapeloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,16 +39,18 @@ def build_session(app: str = "scrapeloom", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of its own.
+    Only a local master may fall back to a folder of its own. Nothing in the
+    folder is needed once the application has ended.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="scrapeloom-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    if context.applicationId not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="scrapeloom-")
+    return _LOCAL_FOLDERS[context.applicationId]
 
 
 def cut(df: DataFrame, label: str = "cut") -> DataFrame:

@@ -170,7 +170,7 @@ def test_clean_keeps_rows_with_nulls_and_drops_header_lines(spark):
 
 def test_describe_columns(spark):
     df = spark.range(1).selectExpr("id", "cast(id as string) s")
-    assert [tuple(r) for r in common.describe_columns(df).collect()] == [("id", "bigint"), ("s", "string")]
+    assert [tuple(r) for r in common.describe_columns(df).collect()] == [("id", "bigint", 1), ("s", "string", 1)]
 
 
 def test_dense_index_over_many_tasks(spark):

@@ -159,10 +159,10 @@ _CTES = {
 }
 
 
-def _upto(last: str, body: str) -> str:
-    """``body`` over the stage queries up to ``last``."""
+def _upto(last: str, body: str, **instead: str) -> str:
+    """``body`` over the stage queries up to ``last``, some of them replaced."""
     parts = []
-    for name, sql in _CTES.items():
+    for name, sql in {**_CTES, **instead}.items():
         parts.append(f"{name} as materialized ({sql})")
         if name == last:
             break
@@ -289,6 +289,14 @@ ORACLES: dict[str, str] = {
         "raw",
         f"select count(*) as total_rows, cast({len(_RAW_COLUMNS)} as bigint) as total_columns from raw",
     ),
+    "describe_columns": _upto(
+        "raw",
+        " union all ".join(
+            f"""select '{c}' as column_name, '{"bigint" if c == "event_id" else "string"}' as column_type,
+            count({c}) as filled_rows from raw"""
+            for c in _RAW_COLUMNS
+        ),
+    ),
     "rows_per_day": _upto("raw", "select scrape_date, count(*) as row_count from raw group by 1"),
     "category_share": _upto(
         "raw",
@@ -388,6 +396,12 @@ ORACLES: dict[str, str] = {
         union all select 'company_name', count(distinct company_name) from keyed""",
     ),
     "entity_map": _upto("entity_map", "select * from entity_map"),
+    "entity_map_singletons": _upto(
+        "entity_map",
+        "select * from entity_map",
+        keyed="select * replace (case when tier = 3 and tier_key = '' then concat(chr(1), event_id) "
+        f"else tier_key end as tier_key) from ({_KEYED})",
+    ),
     "entity_conflicts": _upto(
         "entities",
         """select entity_id, canonical_name, unique_phones, unique_domains, unique_names, n_raw_rows

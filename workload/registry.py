@@ -127,6 +127,11 @@ def table_size(s: Stages) -> DataFrame:
     return profiling.table_size(s.raw)
 
 
+@query
+def describe_columns(s: Stages) -> DataFrame:
+    return common.describe_columns(s.raw)
+
+
 @query
 def rows_per_day(s: Stages) -> DataFrame:
     return profiling.rows_per_day(s.raw)
@@ -319,6 +324,11 @@ def entity_map(s: Stages) -> DataFrame:
     return s.resolution().entity_map
 
 
+@query
+def entity_map_singletons(s: Stages) -> DataFrame:
+    return resolution.resolve(s.clean, ("event_id",), pct=100, nameless="singleton").entity_map
+
+
 @query
 def entity_conflicts(s: Stages) -> DataFrame:
     return s.resolution().conflicts

@@ -39,15 +39,6 @@ def top_rows(df: DataFrame, by: str, k: int, *ties: str) -> DataFrame:
     return df.orderBy(F.desc(by), *[F.asc_nulls_last(t) for t in ties]).limit(k)
 
 
-def value_counts(df: DataFrame, *columns: str) -> DataFrame:
-    """Rows per value, most frequent first."""
-    return (
-        df.groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .orderBy(F.desc("row_count"), *[F.asc_nulls_last(c) for c in columns])
-    )
-
-
 def distinct_sample(df: DataFrame, column: str, k: int) -> DataFrame:
     """The first ``k`` distinct non-null values in order."""
     return df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(k)

@@ -9,8 +9,9 @@ names of la <= lb characters differ by at most
 edits. Cutting the shorter name into k + 1 pieces leaves at least one piece
 untouched, which the longer name must hold at nearly the same place (pigeonhole
 filter with position windows, as in "Pass-Join", Li et al., VLDB 2012). Names
-therefore meet by an equi-join on (la, lb, piece number, piece text). A piece
-shared by too many names is refined: the rest of the two names again differs by
+therefore meet by an equi-join on (la, lb, piece number, piece text). Inside the
+join they must also agree in most character parities, which tells apart names
+that merely share a common piece. A piece shared by too many names is refined: the rest of the two names again differs by
 at most k edits, so it is cut the same way and the names must meet in a second
 piece too. Names too long for that many pieces meet on their rarest q-grams
 instead (prefix filter, Bayardo et al., WWW 2007). Every filter is lossless.
@@ -19,7 +20,8 @@ Clusters follow the walk "each name joins the first earlier leader that is
 similar enough, else becomes a leader". Names are taken in blocks of doubling
 size; a block is joined with the leaders so far, which are few when the data
 hold many near copies, and only the names without a leader are compared among
-themselves. A block that would still make a piece too crowded is made smaller.
+themselves. A block that would still make a piece overfull is made smaller, so
+that a few of its near copies become leaders first.
 """
 
 from __future__ import annotations
@@ -35,17 +37,21 @@ from ..session import cut
 # Names beyond this many characters meet on q-grams.
 PIECE_LENGTH_LIMIT = 100
 # A piece that would make more pairs than this is refined, and so are the finer
-# pieces, this many times at most; then names are taken in smaller blocks.
+# pieces, this many times at most.
 CROWDED_PAIRS = 10_000_000
 REFINE_LEVELS = 2
+# Names that do not have a leader yet are compared in smaller blocks while one
+# piece would make more pairs than this. The first block needs no such care.
+OVERFULL_PAIRS = 250_000_000
 FIRST_BLOCK = 10_000
 
 
-def _budget(pct: int, total: str) -> str:
-    return f"({100 - pct} * ({total}) div 100)"
+_PIECE_COLUMNS = ["ord", "n", "odd", "at", "l", "k", "na", "nb"]
+Sides = tuple[DataFrame, DataFrame]
 
 
-_PIECE_COLUMNS = ["ord", "n", "odd", "at", "l", "k", "na", "nb"]
+def _budget(pct: int, total: str) -> str:
+    return f"({100 - pct} * ({total}) div 100)"
 
 
 def _measured(names: DataFrame) -> DataFrame:
@@ -103,7 +109,7 @@ def _without_piece(df: DataFrame, names: DataFrame) -> DataFrame:
     )
 
 
-def _piece_sides(names: DataFrame, pct: int, limit: int, swaps: bool) -> tuple[DataFrame, DataFrame]:
+def _piece_sides(names: DataFrame, pct: int, limit: int, swaps: bool) -> Sides:
     """Pieces of ``names`` as the shorter and as the longer of a pair."""
     base = _measured(names).where(f"n between 1 and {limit}")
     longest = f"least({limit}, n * {200 - pct} div {pct})"
@@ -161,15 +167,12 @@ def _grams(names: DataFrame, size: int) -> DataFrame:
     )
 
 
-Sides = tuple[DataFrame, DataFrame]
-
-
-def _block_sizes(sides: Sides) -> DataFrame:
-    """Rows ``a`` and ``b`` of each block that has both."""
+def _fuller_than(sides: Sides, pairs: int) -> DataFrame:
+    """Blocks in which the two sides would make more than ``pairs`` pairs."""
     left, right = (
         side.groupBy("block").agg(F.count(F.lit(1)).alias(n)) for side, n in zip(sides, ("a", "b"))
     )
-    return left.join(right, "block")
+    return left.join(right, "block").where(F.col("a") * F.col("b") > pairs).select("block")
 
 
 def _refine(sides: Sides, names: DataFrame, swaps: bool) -> list[Sides]:
@@ -181,7 +184,7 @@ def _refine(sides: Sides, names: DataFrame, swaps: bool) -> list[Sides]:
     found = []
     for _ in range(REFINE_LEVELS):
         sides = tuple(cut(side, "pieces") for side in sides)
-        crowded = cut(_block_sizes(sides).where(F.col("a") * F.col("b") > CROWDED_PAIRS).select("block"), "crowded")
+        crowded = cut(_fuller_than(sides, CROWDED_PAIRS), "crowded")
         if crowded.isEmpty():
             break
         found.append(tuple(side.join(crowded, "block", "left_anti") for side in sides))
@@ -273,13 +276,11 @@ class NameJoin:
     ) -> DataFrame | None:
         """Pairs within the edit budget, each once.
 
-        With ``relent``, None when even the finest blocks stay crowded.
+        With ``relent``, None when even the finest pieces stay overfull.
         """
         right = left if right is None else right
         sides = self._sides(left, right, large)
-        if relent and any(
-            not _block_sizes(s).where(F.col("a") * F.col("b") > CROWDED_PAIRS).isEmpty() for s in sides
-        ):
+        if relent and any(not _fuller_than(s, OVERFULL_PAIRS).isEmpty() for s in sides):
             return None
         pairs = reduce(DataFrame.unionByName, [_meet(s, self.pct, self.swaps) for s in sides])
         return _within_budget(pairs, left if left is right else left.unionByName(right), self.pct)

@@ -26,7 +26,7 @@ CONTRACT = (
 )
 LINEAGE = ("_source_file", "_file_date")
 ROW_ORDER = ("_block_start", "_row_seq")
-FIELD_SEPARATOR = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+QUOTED = '"[^"]*"'
 
 
 def normalise_header(cells: Sequence[str]) -> list[str]:
@@ -147,7 +147,8 @@ def _read_alike(
     )
     # A record of the wrong width is kept whole in _record: too many fields means
     # a malformed line, too few are padded with NULL.
-    width = F.size(F.split("_record", FIELD_SEPARATOR, -1))
+    separators = F.regexp_replace(F.regexp_replace("_record", QUOTED, ""), "[^,]", "")
+    width = F.length(separators) + 1
     cells = {name: text.null_csv_na(f"c{i}") for i, name in enumerate(names)}
     return rows.select(
         *[cell.alias(name) for name, cell in cells.items()],

@@ -85,8 +85,18 @@ def test_growing_blocks(spark):
 
 def test_crowded_pieces_and_blocks_that_shrink(spark, monkeypatch):
     monkeypatch.setattr(similar_names, "CROWDED_PAIRS", 400)
+    monkeypatch.setattr(similar_names, "OVERFULL_PAIRS", 400)
+    relented, candidates = [], NameJoin.candidates
+
+    def watched(*args, **options):
+        found = candidates(*args, **options)
+        relented.append(found is None)
+        return found
+
+    monkeypatch.setattr(NameJoin, "candidates", watched)
     names = sample(4, 60) + near_copies(150)
     assert clusters(spark, names, first_block=20) == walk(names, 90)
+    assert any(relented)
 
 
 @pytest.mark.parametrize("crowded", [10_000, 100])

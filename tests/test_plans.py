@@ -77,3 +77,47 @@ def test_one_python_function_and_no_unbounded_collect():
     assert calls["pandas_udf"] == {"similarity"}
     for banned in ("udf", "collect", "toPandas", "rdd", "localCheckpoint", "cache", "persist", "crossJoin"):
         assert banned not in calls, (banned, calls[banned])
+
+
+def test_hot_keys_are_split_when_the_entity_map_is_large(spark):
+    """A phone with a third of all rows, a third without phone, no broadcast."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(0, 30_000, 1, 8)
+    phone = F.when(F.col("id") % 3 == 0, "2000000000").when(
+        F.col("id") % 3 == 1, F.format_string("%010d", F.col("id"))
+    )
+    text = {c: F.concat(F.lit(c), F.sha2(F.col("id").cast("string"), 256)) for c in ("email_clean", "website_clean", "company_name", "scraped_at")}
+    clean = rows.select(
+        F.lit("2026-06-01").alias("scrape_date"), phone.alias("phone_clean"), F.lit("ERP").alias("category"),
+        F.lit(None).cast("string").alias("city"), F.lit("IT").alias("country"), F.lit("f").alias("_source_file"),
+        F.lit("1-10").alias("employee_count"), *[c.alias(n) for n, c in text.items()],
+    )
+    entity_map = rows.select((F.col("id") + 1).alias("entity_id"), F.format_string("%010d", F.col("id")).alias("canonical_phone"))
+    entity_map = entity_map.unionByName(spark.sql("select 0L entity_id, '2000000000' canonical_phone"))
+    categories = spark.createDataFrame([(1, "ERP")], "category_id long, category_name string")
+    places = spark.createDataFrame([(1, None, "IT")], "location_id long, city string, country string")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "1000b",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "1000b",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50kb",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50kb",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        fact = model.fact_scrape(clean, categories, entity_map, places)
+        links = fact.select("phone_clean", "entity_id", "email_clean", "website_clean", "scraped_at")
+        linked = links.collect()
+        assert "SortMergeJoin(skew=true)" in plan(links)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(linked) == 30_000
+    for r in linked:
+        expected = -1 if r.phone_clean is None else 0 if r.phone_clean == "2000000000" else int(r.phone_clean) + 1
+        assert r.entity_id == expected

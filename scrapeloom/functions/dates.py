@@ -42,8 +42,10 @@ def sunday_based_weekday(day: Column | str) -> Column:
 
 def date_from_file_name(name: Column | str) -> Column:
     """Text behind the first underscore of the file stem, NULL without one."""
-    stem = F.regexp_replace(as_column(name), r"\.[^.]*$", "")
-    return F.when(stem.contains("_"), F.regexp_extract(stem, r"(?s)^[^_]*_(.*)$", 1))
+    c = as_column(name)
+    ending = F.length(F.substring_index(c, ".", -1)) + 1
+    stem = F.when(c.contains("."), F.substr(c, F.lit(1), F.length(c) - ending)).otherwise(c)
+    return F.when(stem.contains("_"), F.substr(stem, F.instr(stem, "_") + 1))
 
 
 def percent_change(now: Column | str, before: Column | str) -> Column:

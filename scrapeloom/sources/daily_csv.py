@@ -43,10 +43,15 @@ def normalise_header(cells: Sequence[str]) -> list[str]:
     return names
 
 
-def _decoded(uri: Column | str) -> Column:
-    """Path or name without URI escapes; local paths with a single slash."""
-    plain = F.url_decode(F.replace(F.col(uri) if isinstance(uri, str) else uri, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(plain, "^file:/+", "file:/")
+def _decoded(uri: str) -> Column:
+    """Path or name without URI escapes; most have none."""
+    c = F.col(uri)
+    return F.when(c.contains("%"), F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))).otherwise(c)
+
+
+def _path(uri: str) -> Column:
+    """Path to read from, in the one spelling used as key. Not for single rows."""
+    return F.regexp_replace(_decoded(uri), "^file:/+", "file:/").alias("_path")
 
 
 def file_name() -> Column:
@@ -56,13 +61,12 @@ def file_name() -> Column:
 
 def day_folder_name(prefix: str = "scrape_") -> Column:
     """Daily file name for days that arrive in parts, as ``.../day=<date>/<part>.csv``."""
-    day = F.regexp_extract(_decoded("_metadata.file_path"), "/day=([^/]+)/", 1)
+    day = F.split_part(F.split_part("_metadata.file_path", F.lit("/day="), F.lit(-1)), F.lit("/"), F.lit(1))
     return F.concat(F.lit(prefix), day, F.lit(".csv"))
 
 
 def _lineage(source_name: Column) -> list[Column]:
     return [
-        _decoded("_metadata.file_path").alias("_path"),
         source_name.alias("_source_file"),
         dates.date_from_file_name(source_name).alias("_file_date"),
     ]
@@ -79,8 +83,10 @@ def list_files(reader: DataFrameReader, folder: str, source_name: Column) -> Dat
     paths = spark.createDataFrame([(p,) for p in found.inputFiles()], "path string")
     name = F.element_at(F.split("path", "/"), -1)
     metadata = F.struct(F.col("path").alias("file_path"), name.alias("file_name"))
-    listed = paths.select(metadata.alias("_metadata")).select(*_lineage(source_name))
-    sizes = found.select(_decoded("_metadata.file_path").alias("_path"), F.col("length").alias("bytes"))
+    listed = paths.select(metadata.alias("_metadata")).select(
+        _path("_metadata.file_path"), *_lineage(source_name)
+    )
+    sizes = found.select(_path("_metadata.file_path"), F.col("length").alias("bytes"))
     return listed.join(sizes, "_path", "left").fillna(0, ["bytes"])
 
 
@@ -95,25 +101,26 @@ def inspect_files(reader: DataFrameReader, folder: str) -> DataFrame:
         .text(folder)
         .select(
             "value",
-            _decoded("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_path").alias("uri"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("seq"),
         )
         .where(F.trim("value") != "")
     )
     utf8 = F.is_valid_utf8("value")
-    odd_quotes = (F.length("value") - F.length(F.replace("value", F.lit('"')))) % 2 == 1
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    odd_quotes = F.col("value").contains('"') & (quotes % 2 == 1)
     shown = F.when(utf8, F.col("value")).otherwise(
         F.decode(F.col("value").cast("binary"), "ISO-8859-1")
     )
     return (
-        lines.groupBy("_path")
+        lines.groupBy("uri")
         .agg(
             F.collect_set(F.struct(utf8.alias("utf8"), odd_quotes.alias("odd"))).alias("kinds"),
             F.min_by(shown, F.struct("block", "seq")).alias("header"),
         )
         .select(
-            "_path",
+            _path("uri"),
             "header",
             F.when(F.exists("kinds", lambda k: ~k["utf8"]), "ISO-8859-1").otherwise("UTF-8").alias("encoding"),
             F.exists("kinds", lambda k: k["odd"]).alias("multi_line"),
@@ -154,6 +161,7 @@ def _read_alike(
         *[cell.alias(name) for name, cell in cells.items()],
         *[F.lit(None).cast("string").alias(c) for c in CONTRACT if c not in cells],
         F.when(width > len(names), F.col("_record")).alias("_malformed"),
+        F.col("_metadata.file_path").alias("_uri"),
         *_lineage(source_name),
         F.col("_metadata.file_block_start").alias("_block_start"),
         F.monotonically_increasing_id().alias("_row_seq"),
@@ -235,9 +243,13 @@ class Ingest:
     @property
     def report(self) -> DataFrame:
         """Per file: status (ok, empty, failed), encoding, rows, malformed lines."""
-        rows = self._landed.groupBy("_path").agg(
-            F.count_if(F.col("_malformed").isNull()).alias("row_count"),
-            F.count("_malformed").alias("malformed"),
+        rows = (
+            self._landed.groupBy("_uri")
+            .agg(
+                F.count_if(F.col("_malformed").isNull()).alias("row_count"),
+                F.count("_malformed").alias("malformed"),
+            )
+            .withColumn("_path", _path("_uri"))
         )
         none = F.coalesce("row_count", F.lit(0)) == 0
         return self.files.join(rows, "_path", "left").select(

@@ -63,12 +63,11 @@ def dim_entity(entity_map: DataFrame) -> DataFrame:
     )
 
 
-def dim_location(clean: DataFrame) -> DataFrame:
+def dim_location(clean: DataFrame, placeholders_as_null: bool = True) -> DataFrame:
     """Distinct (city, country) with a known country, numbered by country and city."""
+    city = text.known_city("city") if placeholders_as_null else F.col("city")
     places = (
-        clean.where(F.col("country").isNotNull())
-        .select(text.known_city("city").alias("city"), "country")
-        .distinct()
+        clean.where(F.col("country").isNotNull()).select(city.alias("city"), "country").distinct()
     )
     order = [F.asc_nulls_last("country"), F.asc_nulls_last("city")]
     return dense_index(places, order, "location_id").select("location_id", "city", "country")

@@ -439,6 +439,11 @@ ORACLES: dict[str, str] = {
         "entity_map", "select * exclude (categories), categories as all_categories from entity_map"
     ),
     "dim_location": _upto("dim_location", "select * from dim_location"),
+    "dim_location_of_raw_cities": _upto(
+        "raw",
+        """select row_number() over (order by country nulls last, city nulls last) as location_id, city, country
+        from (select distinct city, country from raw where country is not null)""",
+    ),
     "fact_scrape": _upto("fact", "select * from fact"),
     "fact_scrape_by_assignment": _upto(
         "dim_location",

@@ -400,6 +400,11 @@ def dim_location(s: Stages) -> DataFrame:
     return s.star().dim_location
 
 
+@query
+def dim_location_of_raw_cities(s: Stages) -> DataFrame:
+    return model.dim_location(s.raw, placeholders_as_null=False)
+
+
 @query
 def fact_scrape(s: Stages) -> DataFrame:
     return s.star().fact_scrape.drop("fact_id")

@@ -50,21 +50,24 @@ def target_shares(cells: DataFrame, target: float | DataFrame, dimension: str) -
     ).withColumn("share", F.coalesce("share", F.lit(0.0)))
 
 
-def rake(cells: DataFrame, targets: Targets, sweeps: int = 40, tolerance: float = 1e-3) -> DataFrame:
+def rake(
+    cells: DataFrame, targets: Targets, sweeps: int = 40, tolerance: float = 1e-3, room: float = 0.95
+) -> DataFrame:
     """Cells with the probability at which their documents are kept.
 
     ``cells`` has one line per combination of the dimensions with its ``tokens``. The
-    budget is the largest number of tokens at which no value wants more than there
-    is. Each sweep scales the cells of every value, one dimension after the other, so
-    that the expected tokens, at probabilities of at most one, meet budget times
-    share. It ends when all marginals are met to the tolerance, or after ``sweeps``
-    where they contradict each other or the cap. Marginals are summed before they are
-    shuffled, and every sweep is written to the shared folder.
+    budget is ``room`` times the largest number of tokens at which no value wants more
+    than there is. Each sweep scales the cells of every value, one dimension after the
+    other, so that the expected tokens, at probabilities of at most one, meet budget
+    times share. It ends when all marginals are met to the tolerance, or, where they
+    contradict each other or the cap, when two sweeps in turn come no nearer, or after
+    ``sweeps``. Marginals are summed before they are shuffled, and every sweep is
+    written to the shared folder.
     """
     dimensions = list(targets)
     shares = {d: cut(target_shares(cells, targets[d], d), "shares") for d in dimensions}
     limits = [s.where("share > 0").agg(F.min(F.col("tokens") / F.col("share"))).first()[0] for s in shares.values()]
-    budget = min([x for x in limits if x is not None], default=0.0)
+    budget = room * min([x for x in limits if x is not None], default=0.0)
     state = cells
     for d in dimensions:
         wanted = shares[d].select(F.col("value").alias(d), F.col("share").alias(f"share_{d}"))
@@ -77,6 +80,7 @@ def rake(cells: DataFrame, targets: Targets, sweeps: int = 40, tolerance: float
             product = product * F.col(f"factor_{d}")
         return F.least(F.lit(1.0), product)
 
+    before, idle = float("inf"), 0
     for _ in range(sweeps):
         for i, d in enumerate(dimensions):
             expected = state.groupBy(d, f"share_{d}").agg(F.sum(F.col("tokens") * probability(state)).alias("met"))
@@ -84,12 +88,15 @@ def rake(cells: DataFrame, targets: Targets, sweeps: int = 40, tolerance: float
             change = expected.select(d, ratio.alias("ratio"))
             state = state.join(change, d).withColumn(f"factor_{d}", F.least(F.lit(1e9), F.col(f"factor_{d}") * F.col("ratio")))
             state = state.withColumnRenamed("ratio", f"ratio_{i}")
-        off = F.greatest(*[F.abs(F.col(f"ratio_{i}") - 1) for i in range(len(dimensions))]) if len(dimensions) > 1 else F.abs(F.col("ratio_0") - 1)
-        state = cut(state.withColumn("off", F.when(F.col("tokens") > 0, off).otherwise(0.0)).drop(*[f"ratio_{i}" for i in range(len(dimensions))]), "raked")
+        ratios = [f"ratio_{i}" for i in range(len(dimensions))]
+        off = F.array_max(F.array(*[F.abs(F.col(r) - 1) for r in ratios]))
+        state = cut(state.withColumn("off", F.when(F.col("tokens") > 0, off).otherwise(0.0)).drop(*ratios), "raked")
         worst = state.agg(F.max("off")).first()[0]
         state = state.drop("off")
-        if worst is None or worst <= tolerance:
+        idle = idle + 1 if worst is not None and worst > 0.95 * before else 0
+        if worst is None or worst <= tolerance or idle == 2:
             break
+        before = worst
     return state.select(*cells.columns, probability(state).alias("probability"))
 
 

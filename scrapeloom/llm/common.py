@@ -70,6 +70,27 @@ def join_hot(rows: DataFrame, lookup: DataFrame, key: str, weight: str, spread:
     return keyed.join(cold, "_cold_key", "left").select(*rows.columns, *[found[c].alias(c) for c in columns])
 
 
+def likely(rows: DataFrame, key: Column, wanted: DataFrame, words: int = 1 << 17) -> DataFrame:
+    """``rows`` without most of those whose key is not in the one column of ``wanted``.
+
+    A bitmap of 64 x ``words`` bits is broadcast, whatever the number of keys. All
+    rows with a wanted key stay, some others too, so an exact join still follows; it
+    shuffles what is left instead of everything.
+    """
+    bits = wanted.select(F.xxhash64(F.col(wanted.columns[0])).alias("_h"))
+
+    def word(h: Column) -> Column:
+        return F.pmod(h, F.lit(words)).cast("int")
+
+    def bit(h: Column) -> Column:
+        return F.expr("shiftleft(1L, cast(pmod(shiftrightunsigned(_h, 32), 64) as int))")
+
+    bitmap = bits.groupBy(word(F.col("_h")).alias("_word")).agg(F.bit_or(bit(F.col("_h"))).alias("_bits"))
+    hashed = rows.withColumn("_h", F.xxhash64(key)).withColumn("_word", word(F.col("_h")))
+    seen = hashed.join(F.broadcast(bitmap), "_word").where(F.col("_bits").bitwiseAND(bit(F.col("_h"))) != 0)
+    return seen.select(*rows.columns)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column and the offsets of its rows; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -14,7 +14,7 @@ from ..session import cut
 from . import common
 
 SKETCH = 1 << 17  # counters of the frequency sketch
-STARS = 3  # rounds that compare with one member of a bucket, before all others are compared
+STARS, ROUNDS = 4, 3  # members of a bucket that all others meet first, and how often
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
@@ -109,28 +109,32 @@ def _signatures(rows: DataFrame, words: int, threshold: Threshold, counts: np.nd
         ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes).view(np.int64)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.string()), lists],
-            ["doc_id", "n", "key", "prefix"],
+            [*[batch.column(c) for c in ("doc_id", "absent", "value")], pa.array(sizes, pa.int64()), pa.array(keys, pa.string()), lists],
+            ["doc_id", "absent", "value", "n", "key", "prefix"],
         )
 
-    return common.arrow_map(rows, work, "doc_id bigint, n bigint, key string, prefix array<bigint>")
+    schema = "doc_id bigint, absent boolean, value bigint, n bigint, key string, prefix array<bigint>"
+    return common.arrow_map(rows, work, schema)
 
 
-def _sets_of(wanted: DataFrame, rows: DataFrame, words: int) -> DataFrame:
-    """(node, items) of the wanted nodes, made again from the text of their first document."""
-    texts = rows.join(wanted.select("node", "key", "first_doc"), F.col("doc_id").eqNullSafe(F.col("first_doc")))
+def _sets_of(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """(node, items) of the nodes in pairs, made again from the text of their first row."""
+    met = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = cut(nodes.join(met, "node").select("node", "key", F.col("first.*")), "wanted")
+    texts = common.likely(rows, F.col("value"), wanted.select("value")).join(wanted, ["absent", "value"])
+    # rows that repeat an id and a text are one; the join has dealt them out by id already
+    texts = texts.withColumn("h", F.xxhash64("text")).dropDuplicates(["absent", "value", "node", "h"])
 
     def work(batch: pa.RecordBatch):
-        nodes, items = [], []
+        found = []
         for node, key, text in zip(batch.column("node").to_pylist(), batch.column("key").to_pylist(), _texts(batch)):
-            found = shingles(text, words)
-            if xxhash.xxh3_128_hexdigest(found.tobytes()) == key:
-                nodes.append(node)
-                items.append(found.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(items, pa.binary())], ["node", "items"])
+            items = shingles(text, words).tobytes()
+            if xxhash.xxh3_128_hexdigest(items) == key:
+                found.append((node, items))
+        columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays(columns, ["node", "items"])
 
-    made = common.arrow_map(texts.select("node", "key", "text"), work, "node bigint, items binary")
-    return made.dropDuplicates(["node"])
+    return cut(common.arrow_map(texts.select("node", "key", "text"), work, "node bigint, items binary"), "sets")
 
 
 def _may_link(x: np.ndarray, y: np.ndarray, least: int) -> bool:
@@ -176,9 +180,8 @@ def link_classes(
     all documents, and linked nodes share one of the rarest, its prefix. Nodes meet
     by an equi-join on prefix n-grams, filtered by length and place, and each pair is
     verified once, by a suffix filter and then on whole sets. A bucket may hold a
-    third of all nodes, so its members first meet one of them per round; members that
-    are connected by then need no comparison, and what is still apart is compared in
-    full. No link between classes is lost: only pairs within a class are left out.
+    third of all nodes, so its members first meet a few of them; members that are
+    connected by then need no comparison, and what is still apart is compared in full. No link between classes is lost: only pairs within a class are left out.
 
     Null and empty texts and texts of white space have 0 n-grams and link with
     nothing. A null id is larger than any other; a class of null ids only has a null
@@ -188,15 +191,19 @@ def link_classes(
     threshold = Threshold(percent)
     rows = common.pick(df, doc_id=id_col, text=text_col)
     rows = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # where a row's text is found again: by its id, without id by a hash of the text
+    rows = rows.withColumns(
+        {"absent": F.col("doc_id").isNull(), "value": F.coalesce("doc_id", F.xxhash64("text"))}
+    )
     counts = frequency_sketch(rows, words)
     signed = cut(_signatures(rows, words, threshold, counts), "signed")
     nodes = signed.where("n > 0").groupBy("key", "n", "prefix")
-    nodes = nodes.agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("rows"))
+    nodes = nodes.agg(F.min(F.struct("absent", "value")).alias("first"), F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("rows"))
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     postings = nodes.select("node", "n", F.posexplode("prefix").alias("place", "gram"))
     shared = cut(postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("gram"), "shared")
-    buckets = cut(postings.join(shared, "gram"), "buckets")
+    buckets = cut(common.likely(postings, F.col("gram"), shared).join(shared, "gram"), "buckets")
     links = cut(_all_links(nodes, rows, buckets, words, threshold), "links")
     member = cut(common.components(links), "members")
     first = nodes.join(member, "node").groupBy("component").agg(F.min("first_doc").alias("component_id"))
@@ -208,38 +215,42 @@ def link_classes(
 
 
 def _all_links(nodes: DataFrame, rows: DataFrame, buckets: DataFrame, words: int, threshold: Threshold) -> DataFrame:
-    wanted = nodes.join(buckets.select("node").distinct(), "node", "left_semi")
-    sets = cut(_sets_of(wanted, rows, words), "sets")
-    spark = nodes.sparkSession
-    links = tried = spark.createDataFrame([], "a bigint, b bigint")
+    """Links (a, b) that connect all nodes which any link connects.
+
+    In each round all members of a bucket meet STARS of them, unless links connect
+    them already. At the end members whose classes are still apart meet each other.
+    """
+
+    fields = ("node", "n", "place", "component")
+
+    def member(side: str) -> list[Column]:
+        return [F.col(c).alias(c + side) for c in fields]
+
+    def star(state: DataFrame, turn: int) -> DataFrame:
+        order = F.xxhash64("node", "gram", F.lit(turn)) if turn else F.col("n")
+        centre = F.min(F.struct(order.alias("order"), *fields)).alias("c")
+        return state.groupBy("gram").agg(centre).select("gram", *[F.col(f"c.{c}").alias(c + "_v") for c in fields])
+
+    def pairs(met: DataFrame) -> DataFrame:
+        met = met.where((F.col("component_u") != F.col("component_v")) & threshold.can_link("n_u", "n_v", "place_u", "place_v"))
+        return met.select(F.least("node_u", "node_v").alias("a"), F.greatest("node_u", "node_v").alias("b")).distinct()
+
+    links = tried = nodes.sparkSession.createDataFrame([], "a bigint, b bigint")
     state = buckets.withColumn("component", F.col("node"))
-    for turn in range(STARS + 1):
-        if turn < STARS:
-            order = F.xxhash64("node", F.lit(turn)) if turn else F.col("n")
-            pick = F.struct(order.alias("o"), "node", "n", "place", "component")
-            centre = state.groupBy("gram").agg(F.min(pick).alias("c"))
-            met = state.join(centre, "gram").select(
-                F.col("node").alias("u"), F.col("n").alias("nu"), F.col("place").alias("pu"), F.col("component").alias("cu"),
-                F.col("c.node").alias("v"), F.col("c.n").alias("nv"), F.col("c.place").alias("pv"), F.col("c.component").alias("cv"),
-            )
-        else:
-            left = state.select("gram", *[F.col(c).alias(x + "u") for c, x in (("n", "n"), ("place", "p"), ("component", "c"))], F.col("node").alias("u"))
-            right = state.select("gram", *[F.col(c).alias(x + "v") for c, x in (("n", "n"), ("place", "p"), ("component", "c"))], F.col("node").alias("v"))
-            met = left.join(right, "gram").where("u < v")
-        met = met.where((F.col("cu") != F.col("cv")) & threshold.can_link("nu", "nv", "pu", "pv"))
-        pairs = met.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
-        pairs = cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = cut(_verified(pairs, sets, threshold), "verified")
-        links, tried = links.unionByName(found), tried.unionByName(pairs)
-        if turn == STARS:
-            return links
-        member = cut(common.components(links), "members")
-        state = buckets.join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    for turn in range(ROUNDS):
+        centres = star(state, turn * STARS)
+        for k in range(1, STARS):
+            centres = centres.unionByName(star(state, turn * STARS + k))
+        met = cut(pairs(state.select("gram", *member("_u")).join(centres.distinct(), "gram")).join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = cut(_verified(met, _sets_of(met, nodes, rows, words), threshold), "verified")
+        links, tried = links.unionByName(found), tried.unionByName(met)
+        classes = cut(common.components(links), "members")
+        state = cut(buckets.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node")), "state")
         apart = state.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
         state = cut(state.join(apart.select("gram"), "gram"), "apart")
-        if state.isEmpty():
-            return links
-    return links
+    rest = pairs(state.select("gram", *member("_u")).join(state.select("gram", *member("_v")), "gram").where("node_u < node_v"))
+    rest = cut(rest.join(tried, ["a", "b"], "left_anti"), "rest")
+    return links.unionByName(_verified(rest, _sets_of(rest, nodes, rows, words), threshold))
 
 
 def keep_one(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

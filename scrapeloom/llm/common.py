@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import cut
 
@@ -105,7 +106,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def arrow_map(
-    df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` that hands over batches with rows only."""
 

@@ -50,9 +50,12 @@ class Net:
 
 
 def to_blocks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of several texts, each padded to whole blocks, and where the blocks of each begin."""
+    """Symbols of several texts, each padded to whole blocks, and where the blocks of each begin.
+
+    The last block of each text is all padding, so that no filter sees the next text.
+    """
     sizes = np.diff(offsets)
-    blocks = (sizes + WIDTH) // BLOCK + 1
+    blocks = (sizes + WIDTH) // BLOCK + 2
     starts = np.concatenate([[0], np.cumsum(blocks)])
     symbols = np.full(starts[-1] * BLOCK, PAD, np.uint16)
     shift = np.repeat(starts[:-1] * BLOCK - offsets[:-1], sizes)
@@ -82,12 +85,12 @@ def convolve(net: Net, symbols: np.ndarray, places: bool = False) -> tuple[np.nd
 
 def chunk_bounds(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First and last block (exclusive) of each chunk, and the first chunk of each text."""
-    blocks = np.diff(starts)
+    blocks = np.diff(starts) - 1  # without the last, which only parts the texts
     chunks = np.maximum(1, -(-(blocks - (CHUNK - HOP)) // HOP))
     first = np.concatenate([[0], np.cumsum(chunks)])
     inside = np.arange(first[-1]) - np.repeat(first[:-1], chunks)
     lo = np.repeat(starts[:-1], chunks) + inside * HOP
-    return lo, np.minimum(lo + CHUNK, np.repeat(starts[1:], chunks)), first
+    return lo, np.minimum(lo + CHUNK, np.repeat(starts[1:] - 1, chunks)), first
 
 
 def _chunk_max(pooled: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
@@ -201,9 +204,9 @@ def train(
 ) -> Net:
     """Network fitted on a bounded sample of labelled rows outside the held-out fold.
 
-    The sample holds at most ``per_class`` texts of each label, taken in order of an
-    id hash, none longer than ``max_bytes``: the only bounded step, as the driver
-    holds these texts. The share of label 1 is counted over all labelled rows of the
+    The sample holds the texts of at most ``per_class`` ids of each label, taken in
+    order of an id hash, less those longer than ``max_bytes``: the only bounded step,
+    as the driver holds these texts. The share of label 1 is counted over all labelled rows of the
     other folds. Rows are held out when crc32(id as text) mod ``folds`` is 0. Null
     or other labels are not learned from; of several labels of an id the smallest
     counts. Without two classes every text gets the share of label 1.
@@ -212,12 +215,13 @@ def train(
     marks = marks.where(F.col("doc_id").isNotNull() & (F.pmod(common.crc_of_id(), F.lit(folds)) != 0))
     marks = marks.groupBy("doc_id").agg(F.min("label").cast("int").alias("label"))
     rows = common.pick(df, doc_id=id_col, text=text_col).select("doc_id", common.text_of().alias("text"))
-    short = rows.where(F.octet_length("text") <= max_bytes).join(marks, "doc_id")
     texts: list[bytes] = []
     found: list[int] = []
     for label in (0, 1):
         order = F.xxhash64("doc_id")
-        for r in short.where(F.col("label") == label).orderBy(order, "doc_id", "text").limit(per_class).collect():
+        chosen = marks.where(F.col("label") == label).orderBy(order, "doc_id").limit(per_class)  # ids only
+        short = rows.where(F.octet_length("text") <= max_bytes).join(F.broadcast(chosen), "doc_id")
+        for r in short.groupBy("doc_id").agg(F.min("text").alias("text")).orderBy("doc_id").collect():
             texts.append(r.text.encode())
             found.append(label)
     share = marks.agg(F.avg("label")).first()[0]
@@ -269,8 +273,9 @@ def keep_good(df: DataFrame, net: Net, id_col: str = "doc_id", text_col: str = "
     """The rows of ``df`` that the network does not reject, with all their columns."""
     if not df.columns:
         return df
-    schema = df.schema
-    at = df.columns.index(text_col)
+    names = df.columns
+    at = names.index(text_col)
+    flat = df.toDF(*[f"_{i}" for i in range(len(names))])  # names may clash
 
     def work(batch: pa.RecordBatch):
         data, offsets = common.utf8(batch.column(at))
@@ -283,4 +288,4 @@ def keep_good(df: DataFrame, net: Net, id_col: str = "doc_id", text_col: str = "
             lo = hi
         yield batch.filter(pa.array(keep))
 
-    return common.arrow_map(df, work, schema)
+    return common.arrow_map(flat, work, flat.schema).toDF(*names)

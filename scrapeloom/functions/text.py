@@ -86,3 +86,8 @@ def joined_labels(value: Column | str) -> Column:
     """Aggregate: sorted distinct labels joined with ``|``. For label sets of
     bounded size only, as one group keeps its whole set."""
     return F.array_join(F.array_sort(F.collect_set(as_column(value))), "|")
+
+
+def quoted(names: Iterable[str]) -> list[str]:
+    """Column names to select by, also those that hold a dot or a back-quote."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]

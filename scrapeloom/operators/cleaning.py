@@ -68,7 +68,7 @@ def clean_scrape(
 ) -> DataFrame:
     """raw_scrape to clean_scrape."""
     clean = add_clean_columns(tidy_text(drop_header_rows(raw)), labels, extended_extensions)
-    return clean.select(*raw.columns, *CLEAN_COLUMNS)
+    return clean.select(*text.quoted([*raw.columns, *CLEAN_COLUMNS]))
 
 
 def value_distribution(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:

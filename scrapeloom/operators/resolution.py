@@ -41,11 +41,14 @@ def add_signals(clean: DataFrame) -> DataFrame:
     )
 
 
+LONELY = "\u0001"  # begins the key of a row without any signal that is a company of its own
+
+
 def _single_out(signals: DataFrame, nameless: str, order: Sequence[str]) -> DataFrame:
     """Optionally give each row without any signal a key of its own."""
     if nameless == "merge":
         return signals
-    own = F.concat_ws("\u0001", F.lit(""), *[F.col(c).cast("string") for c in order])
+    own = F.concat(F.lit(LONELY), F.to_json(F.struct(*order)))
     lonely = (F.col("tier") == NAME) & (F.col("normalised_name") == "")
     return signals.withColumn("tier_key", F.when(lonely, own).otherwise(F.col("tier_key")))
 
@@ -55,11 +58,12 @@ def name_clusters(
 ) -> DataFrame:
     """Leader of each distinct name of the name tier: (tier, tier_key, leader_name).
 
-    Names are taken in order of first appearance.
+    Names are taken in order of first appearance. Rows that were singled out have no
+    name and take no part.
     """
     *outer, inner = order
     names = (
-        signals.where(F.col("tier") == NAME)
+        signals.where((F.col("tier") == NAME) & ~F.col("tier_key").startswith(LONELY))
         .groupBy(F.col("tier_key").alias("name"), *outer)
         .agg(F.min(inner).alias(inner))
     )
@@ -79,8 +83,8 @@ def _with_entity_key(df: DataFrame, clusters: DataFrame | None) -> DataFrame:
     keyed = df.where(F.col("tier") != NAME).withColumn("entity_key", F.col("tier_key"))
     named = (
         df.where(F.col("tier") == NAME)
-        .join(clusters, ["tier", "tier_key"])
-        .withColumnRenamed("leader_name", "entity_key")
+        .join(clusters, ["tier", "tier_key"], "left")
+        .withColumn("entity_key", F.coalesce("leader_name", "tier_key"))
     )
     return keyed.unionByName(named.select(*keyed.columns))
 

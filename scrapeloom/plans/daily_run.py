@@ -41,6 +41,7 @@ def run_stages(
     only if every table holds the rows handed to its writer and no blocking
     gate fails.
     """
+    warehouse.begin(run)
     loaded = ingest(spark, folder, row_order=True, **reading)
     checks = [warehouse.write(run, "raw_scrape", loaded.raw)]
     warehouse.write(run, "ingest_report", loaded.report)

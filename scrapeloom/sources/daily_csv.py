@@ -26,17 +26,22 @@ CONTRACT = (
 )
 LINEAGE = ("_source_file", "_file_date")
 ROW_ORDER = ("_block_start", "_row_seq")
+# Columns the ingest adds while it reads; a file's own column of such a name is numbered.
+INTERNAL = (*LINEAGE, *ROW_ORDER, "_malformed", "_uri", "_record")
 QUOTED = '"[^"]*"'
 
 
 def normalise_header(cells: Sequence[str]) -> list[str]:
-    """Column names: trimmed, lower case, blanks to underscores, repeats numbered."""
+    """Column names: trimmed, lower case, blanks to underscores, repeats numbered.
+
+    Names that the ingest uses itself are numbered like repeats, so no column is lost.
+    """
     names: list[str] = []
     for position, cell in enumerate(cells):
         raw = cell.lstrip("﻿")
         name = raw.strip().lower().replace(" ", "_") or f"unnamed:_{position}"
         repeat, unique = 0, name
-        while unique in names:
+        while unique in names or unique in INTERNAL:
             repeat += 1
             unique = f"{name}.{repeat}"
         names.append(unique)
@@ -181,7 +186,9 @@ def apply_date_fallback(rows: DataFrame, file_key: str = "_source_file") -> Data
         .select(file_key, "_fallback")
     )
     filled = rows.join(cut(undated, "undated"), file_key, "left")
-    return filled.withColumn("scrape_date", F.coalesce("scrape_date", "_fallback")).select(*rows.columns)
+    return filled.withColumn("scrape_date", F.coalesce("scrape_date", "_fallback")).select(
+        *text.quoted(rows.columns)
+    )
 
 
 class Ingest:
@@ -216,10 +223,10 @@ class Ingest:
             raise ValueError(f"no {pattern} file in {folder} has any content")
         parts = [_read_alike(spark, source_name, paths, *key) for key, paths in alike.items()]
         self._landed = cut(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), "landed")
-        extra = [c for c in self._landed.columns if c not in CONTRACT and not c.startswith("_")]
+        extra = [c for c in self._landed.columns if c not in CONTRACT and c not in INTERNAL]
         columns = [*CONTRACT, *extra, *LINEAGE, *(ROW_ORDER if row_order else ())]
         good = self._landed.where(F.col("_malformed").isNull())
-        self.raw = apply_date_fallback(good.select(*columns))
+        self.raw = apply_date_fallback(good.select(*text.quoted(columns)))
         self.quarantine = self._landed.where(F.col("_malformed").isNotNull()).select(
             F.col("_malformed").alias("line"), *LINEAGE
         )

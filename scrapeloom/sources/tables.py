@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,40 +14,60 @@ PUBLISHED = "published"
 
 
 class Warehouse:
-    """Tables under ``root/run=<id>/<name>``.
+    """Tables under ``root/run=<id>/attempt=<token>/<name>``.
 
-    Readers see the run published last. A failed run leaves that one untouched,
-    so the last good tables are never replaced by incomplete ones.
+    Every attempt at a run has a folder of its own, and publishing names that folder.
+    Readers see the attempt published last; one that fails leaves it untouched, also
+    when it repeats the id of the published run.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._attempts: dict[str, str] = {}
+
+    def begin(self, run: str) -> None:
+        """Start a new attempt at a run; what is written from now on belongs to it."""
+        self._attempts[run] = f"run={run}/attempt={uuid.uuid4().hex}"
 
     def path(self, run: str, name: str) -> str:
-        return f"{self.root}/run={run}/{name}"
+        if run not in self._attempts:
+            self.begin(run)
+        return f"{self.root}/{self._attempts[run]}/{name}"
 
     def write(self, run: str, name: str, df: DataFrame, *partition_by: str) -> DataFrame:
-        """Overwrite a table of a run; returns its reconciliation line."""
+        """Overwrite a table of the attempt at hand; returns its reconciliation line."""
         seen = Observation()
         writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(run, name))
-        return reconcile(name, self.read(name, run), seen.get["rows"])
+        return reconcile(name, self.spark.read.parquet(self.path(run, name)), seen.get["rows"])
 
     def publish(self, run: str) -> None:
-        line = self.spark.range(1).select(F.lit(run).alias("run"), F.current_timestamp().alias("at"))
+        line = self.spark.range(1).select(
+            F.lit(run).alias("run"), F.lit(self._attempts[run]).alias("folder"), F.current_timestamp().alias("at")
+        )
         line.coalesce(1).write.mode("append").parquet(f"{self.root}/{PUBLISHED}")
 
-    def current_run(self) -> str:
+    def _published(self, run: str | None = None):
+        """Run and folder of the last publication, of any run or of one."""
         try:
             log = self.spark.read.parquet(f"{self.root}/{PUBLISHED}")
         except AnalysisException as error:
             raise LookupError(f"nothing is published under {self.root}") from error
-        return log.agg(F.max_by("run", "at")).first()[0]
+        log = log if run is None else log.where(F.col("run") == run)
+        last = log.agg(F.max_by(F.struct("run", "folder"), "at")).first()[0]
+        if last is None:
+            raise LookupError(f"run {run} is not published under {self.root}")
+        return last
+
+    def current_run(self) -> str:
+        return self._published().run
 
     def read(self, name: str, run: str | None = None) -> DataFrame:
-        return self.spark.read.parquet(self.path(run or self.current_run(), name))
+        """A published table, or with ``run`` that of the attempt begun here or published last."""
+        folder = self._attempts.get(run) or self._published(run).folder
+        return self.spark.read.parquet(f"{self.root}/{folder}/{name}")
 
 
 def write_csv(df: DataFrame, folder: str, single_file: bool = False) -> None:

@@ -54,6 +54,11 @@ def test_run_publishes_all_tables(spark, tmp_path):
     result = run_stages(spark, str(folder), warehouse, "second", blocking=("phone_not_null",))
     assert not result.published and warehouse.current_run() == "first"
 
+    # so does a failed attempt under the id of the published run
+    (folder / "scrape_2026-06-02.csv").write_text(",".join(CONTRACT) + "\n")
+    result = run_stages(spark, str(folder), warehouse, "first", blocking=("phone_not_null",))
+    assert not result.published and Warehouse(spark, warehouse.root).read("raw_scrape").count() == 12
+
 
 def test_reconciliation_finds_lost_rows(spark, tmp_path):
     from scrapeloom.operators.quality import reconcile

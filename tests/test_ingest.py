@@ -2,6 +2,7 @@
 
 import pytest
 
+from scrapeloom.operators import cleaning
 from scrapeloom.sources.daily_csv import CONTRACT, ingest, normalise_header
 
 HEADER = ",".join(CONTRACT)
@@ -169,3 +170,11 @@ def test_missing_input(spark, folder):
 
 def test_repeated_header_names():
     assert normalise_header(["City", " city ", "", "x"]) == ["city", "city.1", "unnamed:_2", "x"]
+
+
+def test_extra_columns_of_any_name_are_kept(spark, tmp_path):
+    header = ",".join([*CONTRACT, "_vendor_id", "No. of offices", "phone", "_uri"])
+    (tmp_path / "scrape_2026-06-01.csv").write_text(header + "\n" + ",".join(f"v{i}" for i in range(14)) + "\n")
+    raw = ingest(spark, str(tmp_path)).raw
+    row = cleaning.clean_scrape(raw).first().asDict()
+    assert [row[c] for c in ("_vendor_id", "no._of_offices", "phone.1", "_uri.1")] == ["v10", "v11", "v12", "v13"]

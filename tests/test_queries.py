@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__ as contract
 from tests import compare
-
-ORACLES = contract.oracle_sql()
-QUERIES = contract.queries()
+from workload.oracle import ORACLES
+from workload.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +14,8 @@ def con():
 
 
 def test_contract(spark):
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(contract.oracle_sql()) <= set(contract.queries())
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(QUERIES)
     assert contract.entry(spark).count() > 0
 
 

@@ -158,3 +158,12 @@ def test_order_of_several_columns(spark):
 def test_unknown_option(spark):
     with pytest.raises(ValueError):
         resolution.resolve(spark.createDataFrame(rows(1, 3), COLUMNS), ["row_no"], nameless="drop")
+
+
+def test_rows_without_signals_stay_apart_at_any_threshold(spark):
+    rows = [(None, None, None, None, None, "scrape_2026-06-01.csv", 0, i) for i in range(6)]
+    schema = "phone_clean string, website_clean string, company_name string, category string, scrape_date string, _source_file string, _block_start bigint, _row_seq bigint"
+    clean = spark.createDataFrame(rows, schema)
+    for pct in (100, 90):
+        assert resolution.resolve(clean, pct=pct, nameless="singleton").entities.count() == 6
+        assert resolution.resolve(clean, pct=pct).entities.count() == 1

@@ -44,10 +44,9 @@ def target_shares(cells: DataFrame, target: float | DataFrame, dimension: str) -
         raw = raw.withColumn("wish", F.coalesce(F.col("wish").cast("double"), F.lit(0.0)))
     else:
         raw = supply.withColumn("wish", F.when(F.col("tokens") > 0, F.pow(F.col("tokens").cast("double"), float(target))).otherwise(0.0))
-    whole = raw.agg(F.sum("wish").alias("whole"))
-    return raw.join(F.broadcast(whole)).select(  # one line
-        "value", "tokens", (F.col("wish") / F.nullif("whole", F.lit(0.0))).alias("share")
-    ).withColumn("share", F.coalesce("share", F.lit(0.0)))
+    whole = raw.agg(F.sum("wish")).first()[0]
+    share = F.col("wish") / F.lit(float(whole)) if whole else F.lit(0.0)
+    return raw.select("value", "tokens", share.alias("share"))
 
 
 def rake(

@@ -181,7 +181,8 @@ def link_classes(
     by an equi-join on prefix n-grams, filtered by length and place, and each pair is
     verified once, by a suffix filter and then on whole sets. A bucket may hold a
     third of all nodes, so its members first meet a few of them; members that are
-    connected by then need no comparison, and what is still apart is compared in full. No link between classes is lost: only pairs within a class are left out.
+    connected by then need no comparison, and what is still apart is compared in full.
+    No link between classes is lost: only pairs within a class are left out.
 
     Null and empty texts and texts of white space have 0 n-grams and link with
     nothing. A null id is larger than any other; a class of null ids only has a null
@@ -218,7 +219,8 @@ def _all_links(nodes: DataFrame, rows: DataFrame, buckets: DataFrame, words: int
     """Links (a, b) that connect all nodes which any link connects.
 
     In each round all members of a bucket meet STARS of them, unless links connect
-    them already. At the end members whose classes are still apart meet each other.
+    them already. At the end members whose classes are still apart meet each other;
+    the rounds stop as soon as that makes no more pairs than another round.
     """
 
     fields = ("node", "n", "place", "component")
@@ -246,8 +248,13 @@ def _all_links(nodes: DataFrame, rows: DataFrame, buckets: DataFrame, words: int
         links, tried = links.unionByName(found), tried.unionByName(met)
         classes = cut(common.components(links), "members")
         state = cut(buckets.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node")), "state")
-        apart = state.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-        state = cut(state.join(apart.select("gram"), "gram"), "apart")
+        parts = state.groupBy("gram", "component").agg(F.count(F.lit(1)).cast("double").alias("n")).groupBy("gram")
+        apart = parts.agg(F.sum("n").alias("members"), F.sum(F.col("n") * F.col("n")).alias("within"), F.count(F.lit(1)).alias("parts"))
+        apart = cut(apart.where("parts > 1").select("gram", "members", "within"), "apart")
+        members, left = apart.agg(F.sum("members"), F.sum((F.col("members") * F.col("members") - F.col("within")) / 2)).first()
+        state = cut(state.join(apart.select("gram"), "gram"), "state")
+        if (left or 0) <= STARS * (members or 0):  # one more round would make as many pairs
+            break
     rest = pairs(state.select("gram", *member("_u")).join(state.select("gram", *member("_v")), "gram").where("node_u < node_v"))
     rest = cut(rest.join(tried, ["a", "b"], "left_anti"), "rest")
     return links.unionByName(_verified(rest, _sets_of(rest, nodes, rows, words), threshold))

@@ -128,16 +128,20 @@ def malformed_emails(clean: DataFrame) -> DataFrame:
 
 
 def rolling_volume(df: DataFrame, days: int = 7, band: float = 0.20) -> DataFrame:
-    """Daily rows against the mean of the ``days`` days before.
+    """Daily rows against the mean of the ``days`` calendar days before.
 
-    The window runs over one row per day, so its single task stays tiny.
+    Days between the first and the last that have no rows count as 0. The window
+    runs over one row per day, so its single task stays tiny.
     """
-    daily = (
+    present = (
         df.select(dates.iso_date("scrape_date").alias("day"))
         .where(F.col("day").isNotNull())
         .groupBy("day")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
+    span = present.agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    calendar = span.select(F.explode(F.sequence("first", "last")).alias("day"))
+    daily = calendar.join(present, "day", "left").fillna(0, ["row_count"])
     before = Window.orderBy("day").rowsBetween(-days, -1)
     mean = F.avg("row_count").over(before)
     return daily.select(

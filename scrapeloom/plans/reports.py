@@ -83,10 +83,10 @@ def top_sites(rows: DataFrame, website: str = "website_clean", k: int = 10) -> D
 
 
 def _weekly(star: Star, *keys: str) -> DataFrame:
+    """Unique phones per week and keys, over all rows of the fact."""
     weeks = star.dim_date.select("date_id", "week_start")
     return (
-        star.fact_scrape.where(F.col("category_id").isNotNull())
-        .join(weeks, "date_id")
+        star.fact_scrape.join(weeks, "date_id")
         .groupBy("week_start", *keys)
         .agg(F.count_distinct("phone_clean").alias("unique_phones"))
     )

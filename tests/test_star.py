@@ -154,6 +154,8 @@ def test_quality_gates(spark):
     }
     days = {r.scrape_date: r.within_band for r in profiling.rolling_volume(clean).collect()}
     assert [d for d, ok in days.items() if not ok] == ["2026-06-09"]
+    gap = profiling.rolling_volume(clean.where("scrape_date <> '2026-06-06'")).collect()
+    assert [(r.scrape_date, r.row_count) for r in gap if not r.within_band][0] == ("2026-06-06", 0)
     assert quality.violations(clean, "phone_ten_digits").count() == 1
     assert canonical_labels() == ["ERP", "HR", "LMS", "Legal", "MSP Platform", "Medical"]
 

@@ -198,7 +198,9 @@ _ROLLING = """select scrape_date, row_count, round(mean, 2) as rolling_avg,
     coalesce(abs(row_count - mean) <= 0.2 * mean, true) as within_band
     from (select scrape_date, row_count,
         avg(row_count) over (order by scrape_date rows between 7 preceding and 1 preceding) as mean
-        from (select scrape_date, count(*) as row_count from clean where scrape_date is not null group by 1))"""
+        from (select strftime(day, '%Y-%m-%d') as scrape_date, count(c.scrape_date) as row_count
+            from (select unnest(generate_series(min(scrape_date)::date, max(scrape_date)::date, interval 1 day)) as day
+                from clean) left join clean c on c.scrape_date = strftime(day, '%Y-%m-%d') group by 1))"""
 
 # an entity is new on the first of its days and returns on all later ones
 _Q2 = """select date_id as scrape_date, count_if(nth = 1) as new_entities, count_if(nth > 1) as returning_entities
@@ -485,7 +487,7 @@ ORACLES: dict[str, str] = {
         f"""select week_start, unique_phones, {_PCT} as pct_change from (select *,
         lag(unique_phones) over (order by week_start) as before from (
             select dd.week_start, count(distinct f.phone_clean) as unique_phones from fact f
-            join dim_date dd on f.date_id = dd.date_id where f.category_id is not null group by 1))""",
+            join dim_date dd on f.date_id = dd.date_id group by 1))""",
     ),
     "pages_top_sites": f"""select {_site_key('url')} as domain, count(*) as row_count from pages
         where url is not null group by 1 order by row_count desc, domain limit 10""",

@@ -288,6 +288,36 @@ def test_pieces(odd, empty):
     assert lines(pieces.encode_documents(empty, PIECES)) == []
 
 
+def test_piece_scores_are_log_probabilities(spark):
+    """Long pieces win over their parts, about as in the model's own merges."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    known = pieces.Vocabulary.load(PIECES)
+    assert abs(sum(math.exp(s) for _, s in known.pieces.values()) - 1) < 1e-3
+    units = ["▁the", "▁an", "ab", "é"]
+    expected = Counter()
+    for unit, times in zip(units, (5, 2, 1, 3)):  # all segmentations, one by one
+        cuts = [[unit[i:j] for i, j in itertools.pairwise((0, *c, len(unit)))] for k in range(len(unit)) for c in itertools.combinations(range(1, len(unit)), k)]
+        cuts = [(c, math.exp(sum(known.pieces[p][1] for p in c))) for c in cuts if all(p in known.pieces for p in c)]
+        for c, p in cuts:
+            for piece in c:
+                expected[known.pieces[piece][0]] += times * p / sum(q for _, q in cuts)
+    found = known.expected(units, np.array([5, 2, 1, 3])) / pieces.SHARES
+    assert all(abs(found[i] - expected[i]) < 0.01 for i in range(known.size))
+
+    documents = common.table(spark, "/root/testdata/sf0.001", "documents")
+    texts = ["the training of the model", "and the other information"]
+    extra = documents.select("doc_id", "text").union(spark.createDataFrame(enumerate(texts, 10**9), "doc_id bigint, text string"))
+    fitted = known.rescored(*pieces.fit(extra, PIECES))
+    for text in texts:
+        assert fitted.encode(text)[0][1] == model.encode(text)
+    rows = [t for r in documents.select("text").collect()[:40] for t in (r.text or "").split("\n") if t]
+    assert sum(len(fitted.encode(t)[0][1]) for t in rows) < 1.06 * sum(len(model.encode(t)) for t in rows)
+    own = pieces.encode_documents(extra.where("doc_id >= 1000000000"), PIECES).collect()
+    assert all(r.score > r.runner_up and r.round_trip for r in own)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, sf_dir, name):
     columns, rows = compare.spark_rows(QUERIES[name](spark, sf_dir))

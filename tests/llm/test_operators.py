@@ -192,6 +192,26 @@ def test_class_probabilities_sum_to_one():
     assert abs((10 ** bilinear_lm.log10_classes(model, tokens, context)).sum() - 1) < 1e-5
 
 
+def test_language_model_sees_words_of_shared_classes(spark):
+    """Beyond the first 95 words, a word predicts the next and its probabilities sum to one."""
+    rng = random.Random(4)
+    texts = [" ".join(f"a{k}zz b{k}zz" for k in (rng.randrange(150) for _ in range(300))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    stats = bilinear_lm.gather(bilinear_lm.count_words(df), 500_000)
+    inner = stats.inner
+    assert inner.has_vector.sum() == 300 - bilinear_lm.OWN  # all words have vectors
+    more = bilinear_lm.Statistics(**{**vars(stats), "distinct": 4})
+    assert more.inner.has_vector.sum() == 2 * bilinear_lm.GROWTH  # by the root of the vocabulary
+    model = bilinear_lm.train_model(df, spark.sparkContext.broadcast(stats), stats, rounds=4)
+    c = int(stats.classes[-1])
+    rows = np.arange(inner.starts[c], inner.ends[c])
+    context = np.zeros((bilinear_lm.CONTEXT, len(rows)), np.int64)
+    assert abs((10 ** bilinear_lm.log10_words(model, inner, np.full(len(rows), c), rows, context)).sum() - 1) < 1e-5
+    right, wrong = (bilinear_lm.score_documents(df.union(spark.createDataFrame([(2008, t)], df.schema)).coalesce(1), rounds=4).where("doc_id = 2008").first().score
+                    for t in (" ".join(f"a{k}zz b{k}zz" for k in range(150)), " ".join(f"a{k}zz b{(k + 1) % 150}zz" for k in range(150))))
+    assert right > wrong + 1  # held out; the counts of words are the same
+
+
 def test_language_model_beats_its_base(spark, sf_dir):
     found = bilinear_lm.score_documents(common.table(spark, sf_dir, "documents")).where("held_out").collect()
     assert sum(r.score for r in found) > sum(r.base_score for r in found)

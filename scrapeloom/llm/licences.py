@@ -14,6 +14,7 @@ from . import common
 
 NONE, UNKNOWN = "none", "unknown"
 WORDS = "[^a-z0-9.]+"  # what parts words, in lower case
+SENTENCE_END = "[.!?:;][^A-Za-z0-9]*$"
 # Words that carry nothing by themselves: they count only next to another word.
 PLAIN = frozenset("a all an and any are as at be by for from in is it its not of on or that the this to under with you".split())
 
@@ -173,12 +174,18 @@ def find_licences(
 ) -> DataFrame:
     """``doc_id, n_paragraphs, notices, families`` for each row, whole text scanned.
 
-    Paragraphs are lines. One that holds a content word of the classifier is scored:
+    Paragraphs are lines, and sentences that are wrapped over neighbouring lines. A line
+    that holds a content word of the classifier is scored:
     the weights of its word n-grams add up to a probability per family; any other has
-    no feature, and the bias says that it is no notice. A notice has ``paragraph``
-    (from 0), ``family``, ``probability``, ``overlap`` (share of n-grams that it has
+    no feature, and the bias says that it is no notice. Neighbouring lines with content
+    words, of which none but the last ends a sentence, are a block and also scored as
+    one. A block is one notice if its family is confirmed and no line alone is confirmed
+    for another, or if no line alone is confirmed; else its lines are notices.
+
+    A notice has ``paragraph`` (its first line, from 0), ``last`` (its last line),
+    ``family``, ``probability``, ``overlap`` (share of n-grams that it has
     in common with the nearest wording of the family) and ``confirmed`` (overlap of at
-    least ``least_overlap``). A family whose probability is under
+    least ``least_overlap``). ``n_paragraphs`` counts lines. A family whose probability is under
     ``least_probability`` or that no wording confirms is reported as ``unknown``.
     ``families`` lists those of the row, sorted.
 
@@ -195,7 +202,10 @@ def find_licences(
         return F.filter(F.transform(parts, lambda w: F.trim(w, F.lit("."))), lambda w: w != "")
 
     content, plain = _strings(model.content), _strings(sorted(PLAIN))
-    lines = F.transform(paragraphs, lambda p, i: F.struct(i.alias("paragraph"), words(p).alias("words")))
+    lines = F.transform(
+        paragraphs,
+        lambda p, i: F.struct(i.alias("paragraph"), p.rlike(SENTENCE_END).alias("ended"), words(p).alias("words")),
+    )
     candidates = F.filter(lines, lambda x: F.arrays_overlap(x["words"], content))
 
     def is_plain(word: Column) -> Column:
@@ -230,18 +240,55 @@ def find_licences(
 
     names = _strings(list(model.families))
     stage = rows.select("doc_id", F.size(paragraphs).alias("n_paragraphs"), candidates.alias("lines"))
-    stage = stage.withColumn(
-        "lines", F.transform("lines", lambda x: F.struct(x["paragraph"].alias("paragraph"), grams_of(x["words"]).alias("g")))
+
+    def place(x: Column) -> list[Column]:
+        return [x[c].alias(c) for c in ("paragraph", "last", "block")]
+
+    # The places in ``lines`` at which a block starts, and one behind the last.
+    starts = F.filter(
+        F.transform(
+            "lines",
+            lambda x, i: F.when(
+                (i == 0)
+                | F.get("lines", i - 1)["ended"]
+                | (F.get("lines", i - 1)["paragraph"] + 1 != x["paragraph"]),
+                i,
+            ),
+        ),
+        lambda i: i.isNotNull(),
     )
-    stage = stage.withColumn(
-        "lines", F.transform("lines", lambda x: F.struct(x["paragraph"].alias("paragraph"), x["g"].alias("g"), logits(x["g"]).alias("z")))
+    stage = stage.withColumn("starts", F.concat(starts, F.array(F.size("lines"))))
+    blocks = F.transform(
+        F.slice("starts", 1, F.size("starts") - 1),
+        lambda s, k: F.slice("lines", s + 1, F.get("starts", k + 1) - s),
+    )
+    stage = stage.withColumn("blocks", blocks)
+    alone = F.flatten(
+        F.transform(
+            "blocks",
+            lambda b, k: F.transform(
+                b, lambda x: F.struct(x["paragraph"].alias("paragraph"), x["paragraph"].alias("last"), k.alias("block"), x["words"].alias("words"))
+            ),
+        )
     )
+    joined = F.transform(
+        "blocks",
+        lambda b, k: F.struct(
+            F.get(b, F.lit(0))["paragraph"].alias("paragraph"),
+            F.element_at(b, -1)["paragraph"].alias("last"),
+            k.alias("block"),
+            F.flatten(F.transform(b, lambda x: x["words"])).alias("words"),
+        ),
+    )
+    stage = stage.withColumn("lines", F.concat(alone, F.filter(joined, lambda x: x["last"] > x["paragraph"])))
+    stage = stage.withColumn("lines", F.transform("lines", lambda x: F.struct(*place(x), grams_of(x["words"]).alias("g"))))
+    stage = stage.withColumn("lines", F.transform("lines", lambda x: F.struct(*place(x), x["g"].alias("g"), logits(x["g"]).alias("z"))))
     stage = stage.withColumn(
         "lines",
         F.transform(
             "lines",
             lambda x: F.struct(
-                x["paragraph"].alias("paragraph"),
+                *place(x),
                 x["g"].alias("g"),
                 F.element_at(names, F.array_position(x["z"], F.array_max(x["z"])).cast("int")).alias("family"),
                 (1.0 / F.aggregate(x["z"], F.lit(0.0), lambda s, v: s + F.exp(v - F.array_max(x["z"])))).alias("probability"),
@@ -254,20 +301,40 @@ def find_licences(
         F.transform(
             "lines",
             lambda x: F.struct(
-                x["paragraph"].alias("paragraph"), x["family"].alias("family"), x["probability"].alias("probability"),
+                *place(x), x["family"].alias("family"), x["probability"].alias("probability"),
                 overlap(x["g"], x["family"]).alias("overlap"),
             ),
         ),
     )
     sure = lambda x: (x["overlap"] >= least_overlap) & (x["probability"] >= least_probability)
-    notices = F.transform(
+    stage = stage.withColumn(
         "lines",
+        F.transform(
+            "lines",
+            lambda x: F.struct(
+                *place(x),
+                F.when(sure(x), x["family"]).otherwise(UNKNOWN).alias("family"),
+                x["probability"].alias("probability"),
+                x["overlap"].alias("overlap"),
+                (sure(x) & (x["family"] != UNKNOWN)).alias("confirmed"),
+            ),
+        ),
+    )
+
+    def stands(x: Column) -> Column:
+        """Whether a block is a notice as a whole."""
+        own = F.filter("lines", lambda y: (y["block"] == x["block"]) & (y["last"] == y["paragraph"]) & y["confirmed"])
+        return (F.size(own) == 0) | (x["confirmed"] & F.forall(own, lambda y: y["family"] == x["family"]))
+
+    whole = F.transform(F.filter("lines", lambda x: (x["last"] > x["paragraph"]) & stands(x)), lambda x: x["block"])
+    stage = stage.withColumn("whole", whole)
+    kept = F.filter("lines", lambda x: (x["last"] > x["paragraph"]) == F.array_contains("whole", x["block"]))
+    notices = F.transform(
+        F.array_sort(kept),
         lambda x: F.struct(
             x["paragraph"].cast("int").alias("paragraph"),
-            F.when(sure(x), x["family"]).otherwise(UNKNOWN).alias("family"),
-            x["probability"].alias("probability"),
-            x["overlap"].alias("overlap"),
-            (sure(x) & (x["family"] != UNKNOWN)).alias("confirmed"),
+            x["last"].cast("int").alias("last"),
+            *[x[c].alias(c) for c in ("family", "probability", "overlap", "confirmed")],
         ),
     )
     return stage.select(

@@ -253,6 +253,28 @@ def test_unknown_licence(spark):
     assert found == {1: ["unknown"], 2: []}
 
 
+def test_wrapped_licences(spark):
+    """Notices wrapped over lines are one notice each; those on lines of their own stay apart."""
+    mit = """/* Permission is hereby granted, free of charge, to any person obtaining
+ * a copy of this software and associated documentation files (the "Software"),
+ * to deal in the Software without restriction, including without limitation
+ * the rights to use, copy, modify, merge, publish and sell copies. */"""
+    bsd = """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions
+# are met:"""
+    gpl = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version."""
+    apart = "Licensed under the MIT License\nLicensed under CC BY 4.0"
+    texts = [mit, bsd, f"The story ended there.\n\n{gpl}\n\nAll rights reserved.", apart]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: [(n.paragraph, n.last, n.family, n.confirmed) for n in r.notices] for r in licences.find_licences(df).collect()}
+    assert found[0] == [(0, 3, "MIT", True)] and found[1] == [(0, 2, "BSD", True)]
+    assert found[2] == [(2, 5, "GPL-3.0", True), (7, 7, "Proprietary", True)]
+    assert found[3] == [(0, 0, "MIT", True), (1, 1, "CC-BY", True)]
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(2)
     vectors = {i: rng.standard_normal(9).round(2).tolist() for i in range(300)}

@@ -34,6 +34,39 @@ TEMPLATES: dict[str, list[str]] = {
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and modify it under the terms of the GNU General Public License, version 3.",
         "Released under the GPL version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "Released under the GPL version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    ],
+    "LGPL": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "Released under the LGPL version 2.1.",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "Released under the AGPL version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "Licensed under the Mozilla Public License, version 2.0.",
+        "Released under the MPL 2.0.",
+    ],
+    "ISC": [
+        "Licensed under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Released under the Unlicense.",
+    ],
+    "CC0": [
+        "Licensed under CC0 1.0.",
+        "This work is dedicated to the public domain under the Creative Commons CC0 1.0 Universal Public Domain Dedication.",
     ],
     "BSD": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
@@ -52,6 +85,18 @@ TEMPLATES: dict[str, list[str]] = {
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
     ],
+    "CC-BY-ND": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ],
+    "CC-BY-NC-SA": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ],
+    "CC-BY-NC-ND": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ],
     "Proprietary": [
         "All rights reserved.",
         "Copyright by the authors. All rights reserved.",
@@ -66,6 +111,26 @@ TEMPLATES: dict[str, list[str]] = {
         "Licensed under version 5 of the Bar License.",
     ],
 }
+_SA, _NC = ("sa", "sharealike", "alike"), ("nc", "noncommercial")
+_ND = ("nd", "noderivatives", "noderivs", "derivatives", "derivs")
+# What tells neighbours apart: groups of n-grams, one of each of which must occur, and n-grams that must not.
+DECIDING: dict[str, tuple[tuple[tuple[str, ...], ...], tuple[str, ...]]] = {
+    "GPL-3.0": ((("version 3", "version 3.0", "gpl 3", "gpl 3.0", "gplv3", "gpl v3", "v3"),), ("lesser", "affero", "lgpl", "agpl", "library general")),
+    "GPL-2.0": ((("version 2", "version 2.0", "gpl 2", "gpl 2.0", "gplv2", "gpl v2", "v2"),), ("lesser", "affero", "lgpl", "agpl", "library general")),
+    "LGPL": ((("lesser", "lgpl", "library general"),), ("affero", "agpl")),
+    "AGPL-3.0": ((("affero", "agpl"), ("version 3", "version 3.0", "agpl 3", "agpl 3.0", "agplv3", "v3")), ("lesser", "lgpl")),
+    "Apache-2.0": ((("apache",), ("version 2.0", "version 2", "license 2.0", "apache 2.0", "v2.0", "v2")), ("version 1.1", "version 1.0")),
+    "MPL-2.0": ((("mozilla", "mpl"), ("2.0", "version 2", "v2")), ("version 1.1", "version 1.0", "v 1.1")),
+    "ISC": ((("isc", "without fee", "fee"),), ()),
+    "Unlicense": ((("unlicense", "unencumbered"),), ()),
+    "CC0": ((("cc0",),), ()),
+    "CC-BY": ((("attribution", "cc by"),), (*_SA, *_NC, *_ND)),
+    "CC-BY-SA": ((_SA,), (*_NC, *_ND)),
+    "CC-BY-NC": ((_NC,), (*_SA, *_ND)),
+    "CC-BY-ND": ((_ND,), (*_SA, *_NC)),
+    "CC-BY-NC-SA": ((_NC, _SA), _ND),
+    "CC-BY-NC-ND": ((_NC, _ND), _SA),
+}
 # Sentences that use the same words and are no notices.
 OTHER = [
     "The driver lost a license after the race.",
@@ -185,7 +250,7 @@ def find_licences(
     A notice has ``paragraph`` (its first line, from 0), ``last`` (its last line),
     ``family``, ``probability``, ``overlap`` (share of n-grams that it has
     in common with the nearest wording of the family) and ``confirmed`` (overlap of at
-    least ``least_overlap``). ``n_paragraphs`` counts lines. A family whose probability is under
+    least ``least_overlap``, and the n-grams that tell the family from its neighbours). ``n_paragraphs`` counts lines. A family whose probability is under
     ``least_probability`` or that no wording confirms is reported as ``unknown``.
     ``families`` lists those of the row, sorted.
 
@@ -238,6 +303,15 @@ def find_licences(
                 best = F.when(family == f, F.greatest(F.lit(0.0), *shares, *inside)).otherwise(best)
         return best
 
+    def decided(g: Column, family: Column) -> Column:
+        holds = F.lit(True)
+        for f, (needed, barred) in DECIDING.items():
+            own = ~F.arrays_overlap(g, _strings(barred))
+            for group in needed:
+                own = own & F.arrays_overlap(g, _strings(group))
+            holds = F.when(family == f, own).otherwise(holds)
+        return holds
+
     names = _strings(list(model.families))
     stage = rows.select("doc_id", F.size(paragraphs).alias("n_paragraphs"), candidates.alias("lines"))
 
@@ -302,11 +376,11 @@ def find_licences(
             "lines",
             lambda x: F.struct(
                 *place(x), x["family"].alias("family"), x["probability"].alias("probability"),
-                overlap(x["g"], x["family"]).alias("overlap"),
+                overlap(x["g"], x["family"]).alias("overlap"), decided(x["g"], x["family"]).alias("decided"),
             ),
         ),
     )
-    sure = lambda x: (x["overlap"] >= least_overlap) & (x["probability"] >= least_probability)
+    sure = lambda x: x["decided"] & (x["overlap"] >= least_overlap) & (x["probability"] >= least_probability)
     stage = stage.withColumn(
         "lines",
         F.transform(

@@ -275,6 +275,22 @@ def test_wrapped_licences(spark):
     assert found[3] == [(0, 0, "MIT", True), (1, 1, "CC-BY", True)]
 
 
+def test_neighbouring_licences_are_told_apart(spark):
+    gnu = "This work is licensed under the GNU {}General Public License, version {}."
+    texts = {
+        gnu.format("", 3): "GPL-3.0", gnu.format("", 2): "GPL-2.0", gnu.format("Lesser ", 3): "LGPL", gnu.format("Affero ", 3): "AGPL-3.0",
+        gnu.format("", 1): "unknown", "Licensed under the Apache License, Version 1.1.": "unknown",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Licensed under the Mozilla Public License, version 2.0.": "MPL-2.0",
+        "Licensed under the ISC License.": "ISC", "Licensed under the MIT License.": "MIT", "Licensed under CC0 1.0.": "CC0",
+        "This is free and unencumbered software released into the public domain.": "Unlicense",
+    }
+    cc = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    texts |= {cc.format(a): b for a, b in (("", "CC-BY"), ("-ShareAlike", "CC-BY-SA"), ("-NonCommercial", "CC-BY-NC"), ("-NoDerivatives", "CC-BY-ND"), ("-NonCommercial-ShareAlike", "CC-BY-NC-SA"), ("-NonCommercial-NoDerivatives", "CC-BY-NC-ND"))}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: r.families for r in licences.find_licences(df).collect()}
+    assert [found[i] for i in range(len(texts))] == [[f] for f in texts.values()]
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(2)
     vectors = {i: rng.standard_normal(9).round(2).tolist() for i in range(300)}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import (
     bilinear_lm,
     exact_dedup,
+    lexical,
     licences,
     mixing,
     near_join,
@@ -79,6 +80,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"), PIECES, n=2)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_top_k,
         op9_mixing,
         op10_pieces,
+        op11_ranked_search,
     )
 }
 
@@ -121,4 +127,34 @@ ORACLES: dict[str, str] = {
         )
         select query_id, rank, vec_id, score from ranked where rank <= 10
     """,
+    "op11_ranked_search": r"""
+        with numbered as (
+            select row_number() over () as d, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+            from documents
+        ), postings as (
+            select d, doc_id, term, count(*) as tf
+            from (select d, doc_id, unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from numbered)
+            group by all
+        ), lengths as (
+            select d, sum(tf)::bigint as n from postings group by d
+        ), corpus as (
+            select count(*) as docs, sum(n)::bigint as total from lengths
+        ), weights as (
+            select term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::bigint as w from postings, corpus group by term, docs
+        ), asked as (
+            select distinct item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark
+        ), scored as (
+            select item_id, d, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::bigint as score
+            from asked join postings using (term) join weights using (term) join lengths using (d), corpus
+            group by all
+        ), ranked as (
+            select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score
+            from scored where score > 0
+        )
+        select item_id, rank, doc_id, score from ranked where rank <= 50
+    """,
 }

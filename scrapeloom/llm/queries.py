@@ -18,6 +18,7 @@ from . import (
     quality_net,
     repeats,
     sharding,
+    spelling,
     top_k,
 )
 from .common import table
@@ -84,6 +85,10 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
 
 
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"), min_length=6, min_count=5, spoil_every=199, ratio=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_mixing,
         op10_pieces,
         op11_ranked_search,
+        op12_spelling_groups,
     )
 }
 
@@ -157,4 +163,56 @@ ORACLES: dict[str, str] = {
         )
         select item_id, rank, doc_id, score from ranked where rank <= 50
     """,
+    "op12_spelling_groups": r"""
+        with recursive remainders(b, c, step) as (
+            select b::uinteger, b::uinteger, 0 from range(256) t(b)
+            union all
+            select b, case when c & 1 = 1 then xor(c >> 1, 3988292384::uinteger) else c >> 1 end, step + 1
+            from remainders where step < 8
+        ), crc_table as (
+            select list(c order by b) as entry from remainders where step = 8
+        ), runs as (
+            select doc_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) as run
+            from documents
+        ), counted as (
+            select doc_id, run, count(*) as times from runs where length(run) >= 6 group by all
+        ), bytes as (
+            select run, times, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) as h from counted
+        ), hashed as (
+            select run, times, xor(4294967295::uinteger, list_reduce(
+                list_transform(range(length(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::uinteger),
+                lambda c, x: xor(c >> 8, entry[(xor(c, x) & 255) + 1]), 4294967295::uinteger)) as crc
+            from bytes, crc_table
+        ), spoiled as (
+            select case when crc % 199 = 0
+                then substr(run, 1, (crc % length(run))::int) || substr(run, (crc % length(run))::int + 2) else run end as word, times
+            from hashed
+        ), words as (
+            select word, sum(times)::bigint as n from spoiled where length(word) >= 6 group by word having sum(times) >= 5
+        ), holes as (
+            select word, cut, substr(word, 1, cut - 1) || substr(word, cut + 1) as rest
+            from (select word, unnest(range(1, length(word) + 1)) as cut from words)
+        ), near as (
+            select a.word, b.word as other from holes a join holes b on a.cut = b.cut and a.rest = b.rest and a.word <> b.word
+            union
+            select h.word, w.word from holes h join words w on h.rest = w.word
+            union
+            select w.word, h.word from holes h join words w on h.rest = w.word
+        ), ranked as (
+            select near.word, other, o.n as other_n, count(*) over (partition by near.word) as n_near,
+                   row_number() over (partition by near.word order by o.n desc, other) as place
+            from near join words o on o.word = other
+        ), known as (
+            select w.word, case when other_n >= 5 * n then other end as form, n, coalesce(n_near, 0) as n_near,
+                   case when other_n >= 5 * n then other_n end as form_n
+            from words w left join ranked r on r.word = w.word and place = 1
+        ), paths(word, root) as (
+            select word, word from words
+            union all
+            select p.word, k.form from paths p join known k on k.word = p.root where k.form is not null
+        )
+        select k.word, k.form, p.root, k.n, k.n_near::bigint as n_near, k.form_n
+        from known k join paths p on p.word = k.word join known last on last.word = p.root and last.form is null
+    """,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import (
     bilinear_lm,
     exact_dedup,
+    lang_id,
     lexical,
     licences,
     mixing,
@@ -89,6 +90,11 @@ def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"), min_length=6, min_count=5, spoil_every=199, ratio=5)
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return lang_id.identify(documents, lang_id.train(documents))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -104,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_pieces,
         op11_ranked_search,
         op12_spelling_groups,
+        op13_language_id,
     )
 }
 

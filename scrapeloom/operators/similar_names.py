@@ -11,42 +11,43 @@ untouched, which the longer name must hold at nearly the same place (pigeonhole
 filter with position windows, as in "Pass-Join", Li et al., VLDB 2012). Names
 therefore meet by an equi-join on (la, lb, piece number, piece text). Inside the
 join they must also agree in most character parities, which tells apart names
-that merely share a common piece. A piece shared by too many names is refined: the rest of the two names again differs by
-at most k edits, so it is cut the same way and the names must meet in a second
-piece too. Names too long for that many pieces meet on their rarest q-grams
-instead (prefix filter, Bayardo et al., WWW 2007). Every filter is lossless.
+that merely share a common piece, and be within the edit budget. Names too long for
+that many pieces meet on their rarest q-grams instead (prefix filter, Bayardo et
+al., WWW 2007). Every filter is lossless. The pairs of all pieces are dealt to the
+tasks in equal shares (``pair_ranges``), so neither a common piece nor a name that
+many others resemble leaves one task with more work than the others.
 
 Clusters follow the walk "each name joins the first earlier leader that is
-similar enough, else becomes a leader". Names are taken in blocks of doubling
-size; a block is joined with the leaders so far, which are few when the data
-hold many near copies, and only the names without a leader are compared among
-themselves. A block that would still make a piece overfull is made smaller, so
-that a few of its near copies become leaders first.
+similar enough, else becomes a leader". Where the pieces make more pairs than
+sorting them makes comparisons, the first names walk alone; all others then meet
+only the leaders found, and those without one go on. Many near copies thus meet a
+leader and not each other. The walk itself runs inside the connected parts of the
+similarity graph, many small parts to a task.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
+from itertools import groupby
+from operator import itemgetter
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.similarity import similarity_ratio
 from ..session import cut
+from .graph import connected_components
+from .pair_ranges import PairRanges
 
 # Names beyond this many characters meet on q-grams.
 PIECE_LENGTH_LIMIT = 100
-# A piece that would make more pairs than this is refined, and so are the finer
-# pieces, this many times at most.
-CROWDED_PAIRS = 10_000_000
-REFINE_LEVELS = 2
-# Names that do not have a leader yet are compared in smaller blocks while one
-# piece would make more pairs than this. The first block needs no such care.
-OVERFULL_PAIRS = 250_000_000
-FIRST_BLOCK = 10_000
+# Connected parts with more links than this walk in rounds over the whole cluster.
+WALK_LINKS = 500_000
 
 
-_PIECE_COLUMNS = ["ord", "n", "odd", "at", "l", "k", "na", "nb"]
+_SIDE_COLUMNS = ["ord", "name", "n", "odd"]
 Sides = tuple[DataFrame, DataFrame]
 
 
@@ -64,9 +65,9 @@ def _measured(names: DataFrame) -> DataFrame:
     return names.select("ord", "name", F.length("name").alias("n"), F.expr(odd).alias("odd"))
 
 
-def _pieces(df: DataFrame, text: str, longer: bool, swaps: bool) -> DataFrame:
-    """One row per piece: of ``text`` cut into ``k + 1`` parts for the shorter
-    name, and for the longer one at every place where such a part may lie.
+def _pieces(df: DataFrame, longer: bool, swaps: bool) -> DataFrame:
+    """One row per piece: of the name cut into ``k + 1`` parts if it is the shorter
+    one, and for the longer one at every place where such a part may lie.
 
     The first part free of edits whose number is ``i`` has exactly ``i`` edits
     before it, so it moves by at most ``i`` to either side, and by what the
@@ -91,22 +92,8 @@ def _pieces(df: DataFrame, text: str, longer: bool, swaps: bool) -> DataFrame:
         )
     else:
         cut_up = cut_up.withColumnRenamed("p", "at")
-    block = F.expr(f"xxhash64(block, i, substring({text}, at + 1, l))")
-    return cut_up.select(block.alias("block"), *_PIECE_COLUMNS)
-
-
-def _without_piece(df: DataFrame, names: DataFrame) -> DataFrame:
-    """What is left of the names once the piece they share is taken out."""
-    return df.join(names.select("ord", "name"), "ord").select(
-        "block",
-        "ord",
-        "n",
-        "odd",
-        F.expr("concat(substring(name, 1, at), substring(name, at + l + 1))").alias("rest"),
-        "k",
-        F.expr("na - l").alias("na"),
-        F.expr("nb - l").alias("nb"),
-    )
+    block = F.expr("xxhash64(na, nb, i, substring(name, at + 1, l))")
+    return cut_up.select(block.alias("block"), *_SIDE_COLUMNS)
 
 
 def _piece_sides(names: DataFrame, pct: int, limit: int, swaps: bool) -> Sides:
@@ -124,12 +111,11 @@ def _piece_sides(names: DataFrame, pct: int, limit: int, swaps: bool) -> Sides:
             .withColumn("nb", F.expr(nb))
             .withColumn("k", F.expr(f"int({budget})"))
             .where("k > 0 and nb - na <= k")
-            .withColumn("block", F.expr("xxhash64(na, nb)"))
         )
 
     shorter = start(base, "n", f"explode(sequence(n, int(greatest(n, {longest}))))")
     longer = start(base, f"explode(sequence({shortest}, n))", "n")
-    return _pieces(shorter, "name", False, swaps), _pieces(longer, "name", True, swaps)
+    return _pieces(shorter, False, swaps), _pieces(longer, True, swaps)
 
 
 def _gram_side(names: DataFrame, frequency: DataFrame, pct: int, size: int) -> DataFrame:
@@ -150,7 +136,7 @@ def _gram_side(names: DataFrame, frequency: DataFrame, pct: int, size: int) -> D
     return (
         grams.withColumn("rank", F.row_number().over(rarity))
         .where(f"rank <= {keep}")
-        .select(F.expr("xxhash64(gram, copy)").alias("block"), "ord", "n", "odd")
+        .select(F.expr("xxhash64(gram, copy)").alias("block"), *_SIDE_COLUMNS)
     )
 
 
@@ -160,76 +146,13 @@ def _grams(names: DataFrame, size: int) -> DataFrame:
     padded = F.concat(F.lit(pad), F.col("name"), F.lit(pad))
     return (
         _measured(names)
-        .select("ord", "n", "odd", padded.alias("t"))
+        .select(*_SIDE_COLUMNS, padded.alias("t"))
         .withColumn("at", F.expr(f"explode(sequence(1, n + {size - 1}))"))
-        .select("ord", "n", "odd", F.expr(f"substring(t, at, {size})").alias("gram"), "at")
+        .select(*_SIDE_COLUMNS, F.expr(f"substring(t, at, {size})").alias("gram"), "at")
         .withColumn("copy", F.row_number().over(Window.partitionBy("ord", "gram").orderBy("at")))
     )
 
 
-def _fuller_than(sides: Sides, pairs: int) -> DataFrame:
-    """Blocks in which the two sides would make more than ``pairs`` pairs."""
-    left, right = (
-        side.groupBy("block").agg(F.count(F.lit(1)).alias(n)) for side, n in zip(sides, ("a", "b"))
-    )
-    return left.join(right, "block").where(F.col("a") * F.col("b") > pairs).select("block")
-
-
-def _refine(sides: Sides, names: DataFrame, swaps: bool) -> list[Sides]:
-    """Replace crowded pieces by pieces of what is left of the names.
-
-    Blocks whose rest is too short to cut hold names alike in all but a few
-    characters; they stay as they are.
-    """
-    found = []
-    for _ in range(REFINE_LEVELS):
-        sides = tuple(cut(side, "pieces") for side in sides)
-        crowded = cut(_fuller_than(sides, CROWDED_PAIRS), "crowded")
-        if crowded.isEmpty():
-            break
-        found.append(tuple(side.join(crowded, "block", "left_anti") for side in sides))
-        hot = [side.join(crowded, "block", "left_semi") for side in sides]
-        found.append(tuple(side.where("na - l <= k") for side in hot))
-        rests = [_without_piece(side.where("na - l > k"), names) for side in hot]
-        sides = tuple(_pieces(rest, "rest", longer, swaps) for rest, longer in zip(rests, (False, True)))
-    return [*found, tuple(cut(side, "pieces") for side in sides)]
-
-
-def _meet(sides: Sides, pct: int, swaps: bool) -> DataFrame:
-    """Pairs that share a block, as (later, earlier); a pair may come often.
-
-    Lengths and character parities are compared inside the join, which drops
-    nearly all pairs that merely share a common piece.
-    """
-    a, b = (
-        side.select("block", *[F.col(c).alias(f"{c}_{x}") for c in ("ord", "n", "odd")])
-        for side, x in zip(sides, "ab")
-    )
-    budget = _budget(pct, "n_a + n_b")
-    alike = f"bit_count(odd_a ^ odd_b) <= {2 if swaps else 1} * {budget}"
-    return (
-        a.join(b, "block")
-        .where(f"ord_a <> ord_b and abs(n_a - n_b) <= {budget} and {alike}")
-        .select(F.greatest("ord_a", "ord_b").alias("later"), F.least("ord_a", "ord_b").alias("earlier"))
-    )
-
-
-def _within_budget(pairs: DataFrame, names: DataFrame, pct: int) -> DataFrame:
-    """Each pair once, with its names, if their edit distance allows."""
-    budget = _budget(pct, "length(later_name) + length(earlier_name)")
-    later = names.select(F.col("ord").alias("later"), F.col("name").alias("later_name"))
-    earlier = names.select(F.col("ord").alias("earlier"), F.col("name").alias("earlier_name"))
-    # Few bytes per pair but much work: keep them spread over all tasks.
-    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        pairs.distinct()
-        .repartition(tasks, "later")
-        .join(later, "later")
-        .join(earlier, "earlier")
-        .where(f"levenshtein(later_name, earlier_name, int({budget})) >= 0")
-    )
-
-
 class NameJoin:
     """Similarity join over one set of distinct names (``ord``, ``name``).
 
@@ -252,38 +175,51 @@ class NameJoin:
             grams = _grams(long_names, self.gram_size)
             self._frequency = cut(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("uses")), "grams")
 
-    def _sides(self, left: DataFrame, right: DataFrame, large: bool) -> list[Sides]:
-        """Block sides under which every similar (left, right) pair meets."""
+    def ranges(self, left: DataFrame, right: DataFrame | None = None) -> PairRanges:
+        """The blocks under which every similar (left, right) pair meets, dealt to tasks."""
+        right = left if right is None else right
         short_l, long_l = _piece_sides(left, self.pct, self.limit, self.swaps)
-        if left is right:
-            found = [(short_l, long_l)]
-        else:
+        found = [(short_l, long_l)]
+        if left is not right:
             short_r, long_r = _piece_sides(right, self.pct, self.limit, self.swaps)
             found = [(short_l, long_r), (short_r, long_l)]
-        if large:
-            names = left if left is right else left.unionByName(right)
-            found = [finer for sides in found for finer in _refine(sides, names, self.swaps)]
         if self._frequency is not None:
-            grams = [
-                _gram_side(names.where(self._long), self._frequency, self.pct, self.gram_size)
-                for names in (left, right)
-            ]
-            found.append(tuple(cut(g, "grams") for g in grams) if large else tuple(grams))
-        return found
-
-    def candidates(
-        self, left: DataFrame, right: DataFrame | None = None, large: bool = True, relent: bool = False
-    ) -> DataFrame | None:
-        """Pairs within the edit budget, each once.
-
-        With ``relent``, None when even the finest pieces stay overfull.
+            found.append(
+                tuple(
+                    _gram_side(names.where(self._long), self._frequency, self.pct, self.gram_size)
+                    for names in (left, right)
+                )
+            )
+        sides = []
+        for kinds in zip(*found):
+            # blocks of different kinds are kept apart by their number
+            marked = [k.withColumn("block", F.xxhash64("block", F.lit(i))) for i, k in enumerate(kinds)]
+            sides.append(cut(reduce(DataFrame.unionByName, marked), "pieces"))
+        return PairRanges(*sides)
+
+    def within(self, ranges: PairRanges) -> DataFrame:
+        """Pairs of the blocks that are within the edit budget, each once, with their names.
+
+        Lengths and character parities are compared first, which drops nearly all
+        pairs that merely share a common piece.
         """
-        right = left if right is None else right
-        sides = self._sides(left, right, large)
-        if relent and any(not _fuller_than(s, OVERFULL_PAIRS).isEmpty() for s in sides):
-            return None
-        pairs = reduce(DataFrame.unionByName, [_meet(s, self.pct, self.swaps) for s in sides])
-        return _within_budget(pairs, left if left is right else left.unionByName(right), self.pct)
+        budget = _budget(self.pct, "n_a + n_b")
+        alike = f"bit_count(odd_a ^ odd_b) <= {2 if self.swaps else 1} * {budget}"
+        near = f"ord_a <> ord_b and abs(n_a - n_b) <= {budget} and {alike}"
+        pairs = ranges.meet(f"{near} and levenshtein(name_a, name_b, int({budget})) >= 0")
+        first = F.col("ord_a") < F.col("ord_b")
+        ordered = pairs.select(
+            F.greatest("ord_a", "ord_b").alias("later"),
+            F.least("ord_a", "ord_b").alias("earlier"),
+            F.when(first, F.col("name_b")).otherwise(F.col("name_a")).alias("later_name"),
+            F.when(first, F.col("name_a")).otherwise(F.col("name_b")).alias("earlier_name"),
+        )
+        # few bytes per pair but much work behind: keep them spread over all tasks
+        return ordered.repartition(ranges.tasks, "later", "earlier").distinct()
+
+    def candidates(self, left: DataFrame, right: DataFrame | None = None) -> DataFrame:
+        """Pairs within the edit budget, each once."""
+        return self.within(self.ranges(left, right))
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs that reach the similarity threshold, as (later, earlier)."""
@@ -293,19 +229,30 @@ class NameJoin:
 
 def similar_pairs(names: DataFrame, pct: int = 90, limit: int = PIECE_LENGTH_LIMIT) -> DataFrame:
     """All pairs of names whose edit distance is within the budget of ``pct``."""
-    large = names.limit(FIRST_BLOCK + 1).count() > FIRST_BLOCK
-    return NameJoin(names, pct, limit, swaps=True).candidates(names, large=large)
+    return NameJoin(names, pct, limit, swaps=True).candidates(names)
 
 
-def _walk(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Leader of each node, as (ord, leader): rounds of the sequential walk.
+def _walk_parts(links: pd.DataFrame) -> pd.DataFrame:
+    """The sequential walk over whole connected parts, given by their links."""
+    links = links.sort_values(["later", "earlier"])
+    leader: dict[int, int] = {}
+    for name, group in groupby(zip(links["later"], links["earlier"]), itemgetter(0)):
+        # earlier names were walked before, or have no links to still earlier ones and lead
+        leader[name] = next((e for _, e in group if leader.setdefault(e, e) == e), name)
+    for e in links["earlier"].unique():
+        leader.setdefault(e, e)
+    return pd.DataFrame(list(leader.items()), columns=["ord", "leader"])
+
+
+def _walk_rounds(edges: DataFrame) -> DataFrame:
+    """Leader of each linked node, as (ord, leader): rounds of the sequential walk.
 
     A node is a member once an earlier neighbour leads, and leads once all its
     earlier neighbours are members (Blelloch, Fineman & Shun, SPAA 2012).
     """
     edges = cut(edges, "edges")
     later = edges.select(F.col("later").alias("ord")).distinct()
-    fresh = nodes.select("ord").join(later, "ord", "left_anti")
+    fresh = cut(edges.select(F.col("earlier").alias("ord")).distinct().join(later, "ord", "left_anti"), "leaders")
     leaders, pending = [fresh], edges
     while not pending.isEmpty():
         members = cut(
@@ -338,44 +285,72 @@ def _walk(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return leading.select("ord", F.col("ord").alias("leader")).unionByName(joined)
 
 
+def walk(links: DataFrame, walk_links: int = WALK_LINKS) -> DataFrame:
+    """Leader of each linked name, as (ord, leader), from the links (later, earlier).
+
+    A name's leader depends on its connected part alone. Parts of up to ``walk_links``
+    links are packed into tasks of about as many and walked there name by name, so a
+    chain of any form costs a fixed number of jobs; larger parts take rounds over
+    the whole cluster.
+    """
+    links = cut(links, "similar")
+    total = links.count()
+    if total <= walk_links:  # all parts fit one task
+        return links.withColumn("task", F.lit(0)).groupBy("task").applyInPandas(_walk_parts, "ord bigint, leader bigint")
+    parts = connected_components(links.select(F.col("later").alias("a"), F.col("earlier").alias("b")))
+    parts = parts.select(F.col("node").alias("later"), F.col("component").alias("part"))
+    placed = cut(links.join(parts, "later"), "placed")
+    large = cut(placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > walk_links), "large")
+    small = placed.join(large, "part", "left_anti")
+    tasks = -(-2 * total // walk_links)
+    walked = small.groupBy(F.pmod(F.xxhash64("part"), F.lit(tasks))).applyInPandas(
+        _walk_parts, "ord bigint, leader bigint"
+    )
+    if large.isEmpty():
+        return walked
+    return walked.unionByName(_walk_rounds(placed.join(large, "part", "left_semi").select("later", "earlier")))
+
+
+def _first_names(names: DataFrame, share: float) -> int:
+    """The number up to which about ``share`` of the names, at least one, come first."""
+    return names.agg(F.percentile_approx("ord", F.lit(share), F.lit(10_000))).first()[0]
+
+
 def leader_clusters(
     names: DataFrame,
     pct: int = 90,
     limit: int = PIECE_LENGTH_LIMIT,
-    first_block: int = FIRST_BLOCK,
+    effort: float = 1.0,
+    walk_links: int = WALK_LINKS,
 ) -> DataFrame:
     """Cluster distinct names (``ord`` 1..n, ``name``): adds ``leader`` (its
-    ``ord``) and ``leader_name``."""
+    ``ord``) and ``leader_name``.
+
+    A round may make ``effort`` times as many pairs as sorting its pieces makes
+    comparisons. If all names left would make more, only so many of the first walk.
+    """
     if pct >= 100:
         return names.select("ord", "name", F.col("ord").alias("leader"), F.col("name").alias("leader_name"))
-    total = names.agg(F.max("ord")).first()[0] or 0
     join = NameJoin(names, pct, limit)
-    parts: list[DataFrame] = []
-    leaders: DataFrame | None = None
-    done, size = 0, first_block
-    while done < total:
-        block = names.where((F.col("ord") > done) & (F.col("ord") <= done + size))
-        led = None
-        if leaders is not None:
-            found = join.verified(join.candidates(leaders, block, large=True))
-            led = cut(
-                found.groupBy(F.col("later").alias("ord")).agg(F.min("earlier").alias("leader")), "led"
-            )
-            block = cut(block.join(led, "ord", "left_anti"), "names")
-        large = size > first_block
-        pairs = join.candidates(block, large=large, relent=large)
-        if pairs is None:  # near copies arriving together: let a few of them lead first
-            size = max(first_block, size // 4)
-            continue
-        walked = cut(_walk(block, join.verified(pairs)), "walked")
-        parts += [walked] if led is None else [led, walked]
-        new_leaders = block.join(walked.where("ord = leader").select("ord"), "ord", "left_semi")
-        new_leaders = cut(new_leaders.select("ord", "name"), "leaders")
-        leaders = new_leaders if leaders is None else leaders.unionByName(new_leaders)
-        done += size
-        size *= 2
-    if not parts:
-        return names.select("ord", "name", F.col("ord").alias("leader"), F.col("name").alias("leader_name"))
+    rest, parts = names, []
+    while True:
+        ranges = join.ranges(rest)
+        allowed = effort * ranges.rows * math.log2(max(2, ranges.rows))
+        if ranges.pairs <= allowed:
+            parts.append(cut(walk(join.verified(join.within(ranges)), walk_links), "walked"))
+            break
+        last = _first_names(rest, math.sqrt(allowed / ranges.pairs))
+        head, tail = rest.where(F.col("ord") <= last), rest.where(F.col("ord") > last)
+        walked = cut(walk(join.verified(join.candidates(head)), walk_links), "walked")
+        members = walked.where("ord <> leader").select("ord")
+        leaders = cut(head.join(members, "ord", "left_anti"), "leaders")
+        led = join.verified(join.candidates(leaders, tail))
+        led = cut(led.groupBy(F.col("later").alias("ord")).agg(F.min("earlier").alias("leader")), "led")
+        parts += [walked, led]
+        rest = cut(tail.join(led, "ord", "left_anti"), "names")
+        if rest.isEmpty():
+            break
     assigned = reduce(DataFrame.unionByName, parts)
     lead = names.select(F.col("ord").alias("leader"), F.col("name").alias("leader_name"))
-    return names.join(assigned, "ord").join(lead, "leader").select("ord", "name", "leader", "leader_name")
+    led = names.join(assigned, "ord", "left").withColumn("leader", F.coalesce("leader", "ord"))
+    return led.join(lead, "leader").select("ord", "name", "leader", "leader_name")

@@ -4,8 +4,11 @@ import random
 from difflib import SequenceMatcher
 
 import pytest
+from pyspark.sql import functions as F
 
 from scrapeloom.operators import similar_names
+from scrapeloom.operators.graph import connected_components
+from scrapeloom.operators.pair_ranges import PairRanges
 from scrapeloom.operators.similar_names import NameJoin, leader_clusters
 
 WORDS = "acme north star legal medical cloud works group labs point hub rx pulse data soft tech".split()
@@ -78,40 +81,34 @@ def test_long_names_meet_on_grams(spark):
     assert clusters(spark, names, limit=16) == walk(names, 90)
 
 
-def test_growing_blocks(spark):
-    names = sample(3, 200)
-    assert clusters(spark, names, first_block=25) == walk(names, 90)
+def test_names_that_meet_leaders_only(spark):
+    """The first names walk alone, the others meet their leaders, more than once."""
+    names = list(dict.fromkeys(sample(4, 25) + near_copies(60) + sample(3, 25)))
+    firsts, first_names = [], similar_names._first_names
 
+    def watched(*args):
+        firsts.append(first_names(*args))
+        return firsts[-1]
 
-def test_crowded_pieces_and_blocks_that_shrink(spark, monkeypatch):
-    monkeypatch.setattr(similar_names, "CROWDED_PAIRS", 400)
-    monkeypatch.setattr(similar_names, "OVERFULL_PAIRS", 400)
-    relented, candidates = [], NameJoin.candidates
+    similar_names._first_names = watched
+    try:
+        assert clusters(spark, names, effort=0.04) == walk(names, 90)
+    finally:
+        similar_names._first_names = first_names
+    assert 1 <= len(firsts) <= 6, firsts
 
-    def watched(*args, **options):
-        found = candidates(*args, **options)
-        relented.append(found is None)
-        return found
 
-    monkeypatch.setattr(NameJoin, "candidates", watched)
-    names = sample(4, 60) + near_copies(150)
-    assert clusters(spark, names, first_block=20) == walk(names, 90)
-    assert any(relented)
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
 
 
-@pytest.mark.parametrize("crowded", [10_000, 100])
-def test_no_pair_within_the_budget_is_missed(spark, monkeypatch, crowded):
-    monkeypatch.setattr(similar_names, "CROWDED_PAIRS", crowded)
+def test_no_pair_within_the_budget_is_missed(spark):
     names = sample(5, 120, (1, 7)) + near_copies(30)
-
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-        return row[-1]
-
     expected = {
         (j, i)
         for j in range(1, len(names) + 1)
@@ -123,11 +120,108 @@ def test_no_pair_within_the_budget_is_missed(spark, monkeypatch, crowded):
         pairs = [(r.later, r.earlier) for r in found.collect()]
         assert len(pairs) == len(set(pairs))
         assert set(pairs) == expected
-        join = NameJoin(frame(spark, names), 90, limit)
-        similar = join.verified(join.candidates(frame(spark, names)))
-        assert {tuple(r) for r in similar.collect()} == {
-            (j, i) for j, i in expected if SequenceMatcher(None, names[j - 1], names[i - 1]).ratio() >= 0.9
-        }
+    join = NameJoin(frame(spark, names), 90)
+    similar = join.verified(join.candidates(frame(spark, names)))
+    assert {tuple(r) for r in similar.collect()} == {
+        (j, i) for j, i in expected if SequenceMatcher(None, names[j - 1], names[i - 1]).ratio() >= 0.9
+    }
+
+
+def chain(n):
+    """Each name is like its neighbours only; all are one connected part."""
+    return ["".join(chr(97 + (i + j) // 40 % 26) for j in range(40)) for i in range(0, 4 * n, 4)]
+
+
+def test_a_chain_costs_a_fixed_number_of_jobs(spark):
+    """300 names of which each resembles the last: no round per name."""
+    names = chain(260)
+    assert len(set(names)) == 260
+    expected = walk(names, 90)
+    assert 2 < len(set(expected.values())) < 260
+    runs, write = [], similar_names.cut
+
+    def counted(df, label="cut"):
+        runs.append(label)
+        return write(df, label)
+
+    similar_names.cut = counted
+    try:
+        assert clusters(spark, names) == expected
+        one_task = len(runs)
+        assert one_task < 10
+        assert clusters(spark, names, walk_links=len(names) * 20) == expected
+    finally:
+        similar_names.cut = write
+
+
+@pytest.mark.parametrize("walk_links", [40, 5])
+def test_parts_of_any_size_walk_alike(spark, walk_links):
+    """Small parts in packed tasks, large ones in rounds."""
+    names = list(dict.fromkeys(sample(6, 80) + near_copies(25) + chain(12)))
+    assert clusters(spark, names, walk_links=walk_links) == walk(names, 90)
+
+
+def blocks_of(spark, n):
+    """A block that all rows share, a smaller one, and many of a few rows."""
+    rows = spark.range(0, n).select(F.col("id").alias("ord"))
+    return (
+        rows.select(F.lit(1).cast("bigint").alias("block"), "ord")
+        .unionByName(rows.where(F.col("ord") < n // 7).select(F.lit(2).cast("bigint").alias("block"), "ord"))
+        .unionByName(rows.select((F.col("ord") % (n // 5) + 10).alias("block"), "ord"))
+    )
+
+
+def test_every_pair_of_a_block_meets_once(spark):
+    side = blocks_of(spark, 300)
+    lone = spark.createDataFrame([(1, 9999), (5000, 3)], "block long, ord long")
+    for left, right in ((side, side), (lone, side), (side, lone)):
+        ranges = PairRanges(left, right, tasks=16)
+        a, b = ranges.sides()
+        shared = a.join(b.withColumnRenamed("ord", "other"), ["_range", "block", "_tile"]).select("block", "ord", "other")
+        exact = left.join(right.withColumnRenamed("ord", "other"), "block").select("block", "ord", "other")
+        assert sorted(shared.collect()) == sorted(exact.collect())
+        assert ranges.pairs == exact.count()
+
+
+@pytest.mark.parametrize("lonely", [False, True])
+def test_pairs_are_dealt_evenly(spark, lonely):
+    """5,000 near copies that share a piece, or one name that 5,000 resemble."""
+    side = blocks_of(spark, 5000)
+    left = spark.createDataFrame([(1, 9999)], "block long, ord long") if lonely else side
+    ranges = PairRanges(left, side, tasks=16)
+    tiles = [x.groupBy("_range", "block", "_tile").agg(F.count("*").alias(n)) for x, n in zip(ranges.sides(), "ab")]
+    both = tiles[0].join(tiles[1], ["_range", "block", "_tile"])
+    work = both.groupBy("_range").agg(F.sum(F.col("a") * F.col("b") + F.col("a") + F.col("b")).alias("work"))
+    work = sorted(r.work for r in work.collect())
+    assert len(work) == 16 and work[-1] <= 3 * work[8]
+    assert both.agg(F.sum(F.col("a") * F.col("b"))).first()[0] == ranges.pairs
+
+
+def test_shares_stay_with_their_tasks(spark):
+    """The plan sends each range to the task of its number, whatever the session's settings."""
+    join = NameJoin(frame(spark, near_copies(40)), 90)
+    pairs = join.candidates(frame(spark, near_copies(40)))
+    text = pairs._jdf.queryExecution().executedPlan().toString()
+    assert text.count("shufflepartitionidpassthrough") == 2
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_components(spark):
+    rng = random.Random(9)
+    links = [(rng.randrange(120), rng.randrange(120)) for _ in range(70)] + [(i, i + 1) for i in range(200, 300)]
+    links += [(500, i) for i in range(501, 540)] + [(7, 7), (600, 600)]
+    found = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    least = {n: n for link in links for n in link}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(least[a], least[b])
+            changed |= least[a] != low or least[b] != low
+            least[a] = least[b] = low
+    linked = {n for a, b in links if a != b for n in (a, b)}
+    assert {r.node: r.component for r in found} == {n: c for n, c in least.items() if n in linked}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
 def test_threshold_limits(spark):

@@ -159,6 +159,50 @@ _CTES = {
 }
 
 
+# The walk over similar names: ratio by longest common blocks, then name by name. Starts from walk_names.
+_SIMILAR = {
+    "close_names": """select a.ord as later, b.ord as earlier, a.name as x, b.name as y
+        from walk_names a join walk_names b on a.ord > b.ord
+        and levenshtein(a.name, b.name) <= (length(a.name) + length(b.name)) // 10""",
+    # longest common block of each span, the first of them, then the spans to both sides
+    "spans(later, earlier, x, y, x0, x1, y0, y1, hit)": """
+        select later, earlier, x, y, 1, length(x) + 1, 1, length(y) + 1, 0 from close_names
+        union all
+        select later, earlier, x, y,
+            unnest([x0, i + k]), unnest([i, x1]), unnest([y0, j + k]), unnest([j, y1]), unnest([k, 0])
+        from (select *, row_number() over (partition by later, earlier, x0, y0, x1, y1 order by k desc, i, j) as best
+            from (select later, earlier, x, y, x0, x1, y0, y1, min(i) as i, min(j) as j, cast(count(*) as int) as k
+                from (select *, i - row_number() over (partition by later, earlier, x0, y0, x1, y1, i - j order by i) as run
+                    from (select *, unnest(range(y0, y1)) as j
+                        from (select *, unnest(range(x0, x1)) as i from spans))
+                    where x[i] = y[j])
+                group by later, earlier, x, y, x0, x1, y0, y1, i - j, run))
+        where best = 1""",
+    "alike": """select later, earlier from spans group by later, earlier, x, y
+        having 2 * sum(hit) >= 0.9 * (length(x) + length(y))""",
+    "linked": """select ord, row_number() over (order by ord) as nth, earlier
+        from (select later as ord, list(earlier) as earlier from alike group by later
+            union all select earlier, []::bigint[] from alike where earlier not in (select later from alike) group by earlier)""",
+    "steps(nth, leaders, ord, leader)": """
+        select 0::bigint, []::bigint[], 0::bigint, 0::bigint
+        union all
+        select l.nth, case when found is null then list_append(leaders, l.ord) else leaders end, l.ord, coalesce(found, l.ord)
+        from (select l.*, s.leaders, list_min(list_intersect(l.earlier, s.leaders)) as found
+            from steps s join linked l on l.nth = s.nth + 1) l""",
+    "led": """select n.ord, n.name, coalesce(s.leader, n.ord) as leader from walk_names n left join steps s using (ord)""",
+}
+
+
+def _chain(parts: dict[str, str], last: str, body: str) -> str:
+    """``body`` over the named queries up to ``last``; those with column names recurse."""
+    found = []
+    for name, sql in parts.items():
+        found.append(f"{name} as {'' if '(' in name else 'materialized '}({sql})")
+        if name == last:
+            break
+    return "with recursive " + ",\n".join(found) + "\n" + body
+
+
 def _upto(last: str, body: str, **instead: str) -> str:
     """``body`` over the stage queries up to ``last``, some of them replaced."""
     parts = []
@@ -169,6 +213,23 @@ def _upto(last: str, body: str, **instead: str) -> str:
     return "with " + ",\n".join(parts) + "\n" + body
 
 
+def _similar(last: str, body: str) -> str:
+    """The stage queries with companies of similar names: tier 3 goes by the leader's name."""
+    parts: dict[str, str] = {}
+    for name, sql in _CTES.items():
+        if name != "keyed":
+            parts[name] = sql
+            continue
+        parts["own_keys"] = sql
+        parts["walk_names"] = """select row_number() over (order by min(event_id), tier_key) as ord, tier_key as name
+            from own_keys where tier = 3 group by tier_key"""
+        parts |= _SIMILAR
+        parts["keyed"] = """select k.* replace (coalesce(w.name, k.tier_key) as tier_key)
+            from own_keys k left join led on k.tier = 3 and led.name = k.tier_key
+            left join walk_names w on w.ord = led.leader"""
+    return _chain(parts, last, body)
+
+
 def _share(cte: str, name: str, condition, columns) -> str:
     return " union all ".join(
         f"""select '{c}' as column_name, count(*) filter (where {condition(c)}) as {name},
@@ -202,6 +263,12 @@ _ROLLING = """select scrape_date, row_count, round(mean, 2) as rolling_avg,
             from (select unnest(generate_series(min(scrape_date)::date, max(scrape_date)::date, interval 1 day)) as day
                 from clean) left join clean c on c.scrape_date = strftime(day, '%Y-%m-%d') group by 1))"""
 
+_SUMMARY = """select case tier when 1 then 'phone' when 2 then 'host' else 'name' end as tier,
+    cast(sum(n_raw_rows) as bigint) as row_count, count(*) as entity_count,
+    round(sum(n_raw_rows) / count(*), 1) as dedup_ratio from entities group by tier
+    union all select 'total', cast(sum(n_raw_rows) as bigint), count(*),
+    round(sum(n_raw_rows) / count(*), 1) from entities"""
+
 # an entity is new on the first of its days and returns on all later ones
 _Q2 = """select date_id as scrape_date, count_if(nth = 1) as new_entities, count_if(nth > 1) as returning_entities
     from (select date_id, row_number() over (partition by entity_id order by date_id) as nth
@@ -408,14 +475,7 @@ ORACLES: dict[str, str] = {
         """select entity_id, canonical_name, unique_phones, unique_domains, unique_names, n_raw_rows
         from entities where unique_phones > 1 or unique_domains > 1 or unique_names > 1""",
     ),
-    "resolution_summary": _upto(
-        "entities",
-        """select case tier when 1 then 'phone' when 2 then 'host' else 'name' end as tier,
-        cast(sum(n_raw_rows) as bigint) as row_count, count(*) as entity_count,
-        round(sum(n_raw_rows) / count(*), 1) as dedup_ratio from entities group by tier
-        union all select 'total', cast(sum(n_raw_rows) as bigint), count(*),
-        round(sum(n_raw_rows) / count(*), 1) from entities""",
-    ),
+    "resolution_summary": _upto("entities", _SUMMARY),
     "top_entities": _upto(
         "entities",
         """select entity_id, canonical_name, canonical_phone, categories, n_raw_rows from entities
@@ -426,6 +486,14 @@ ORACLES: dict[str, str] = {
         """select k.event_id, k.tier, e.entity_id from keyed k
         join entities e on e.tier = k.tier and e.tier_key = k.tier_key""",
     ),
+    "fuzzy_name_clusters": _chain(
+        {**{k: v for k, v in _CTES.items() if k != "entity_map"}, "walk_names": "select * from all_names", **_SIMILAR},
+        "led",
+        """select led.ord, led.name, led.leader, w.name as leader_name
+        from led join walk_names w on w.ord = led.leader""",
+    ),
+    "entity_map_similar_names": _similar("entity_map", "select * from entity_map"),
+    "resolution_summary_similar_names": _similar("entities", _SUMMARY),
     "fuzzy_name_pairs": _upto(
         "all_names",
         """select a.ord as later, b.ord as earlier, a.name as later_name, b.name as earlier_name

@@ -1,5 +1,7 @@
 """Reading daily files: headers, encodings, malformed lines, dates."""
 
+import random
+
 import pytest
 
 from scrapeloom.operators import cleaning
@@ -135,6 +137,160 @@ def test_unreadable_file_is_skipped_and_counted(spark, folder):
     assert collect(out.report, "_source_file", "status") == [("a_1.csv.gz", "ok"), ("b_2.csv.gz", "failed")]
 
 
+def many_lines(day, n=300):
+    rng = random.Random(day)
+    return "\n".join([HEADER, *[line(scrape_date=day, city=f"c{rng.random()}") for _ in range(n)]]).encode()
+
+
+def test_files_are_taken_whole_or_not_at_all(spark, folder):
+    """Streams that are cut, damaged or go on, in all formats whose end can be proven."""
+    import bz2
+    import gzip
+    import zlib
+
+    data = {f"2026-06-{d:02d}": many_lines(f"2026-06-{d:02d}") for d in range(1, 10)}
+    days = sorted(data)
+    packed = {
+        f"a_{days[0]}.csv.gz": gzip.compress(data[days[0]]),
+        f"a_{days[1]}.csv.gz": gzip.compress(data[days[1]])[:-900],  # half way
+        f"a_{days[2]}.csv.gz": gzip.compress(data[days[2]])[:-4],  # only the length is missing
+        f"a_{days[3]}.csv.gz": gzip.compress(data[days[3]][:5000]) + gzip.compress(data[days[3]][5000:]),
+        f"a_{days[4]}.csv.bz2": bz2.compress(data[days[4]]),
+        f"a_{days[5]}.csv.bz2": bz2.compress(data[days[5]])[:-200],
+        f"a_{days[6]}.csv.deflate": zlib.compress(data[days[6]]),
+        f"a_{days[7]}.csv": data[days[7]] + b"\n",
+        f"a_{days[8]}.csv.gz": b"",
+    }
+    damaged = bytearray(packed[f"a_{days[0]}.csv.gz"])
+    damaged[-6] ^= 255  # the checksum
+    packed["b_2026-07-01.csv.gz"] = bytes(damaged)
+    for name, content in packed.items():
+        (folder.dir / name).write_bytes(content)
+    out = ingest(spark, folder.path, pattern="*.csv*")
+    counts = {r.scrape_date: r["count"] for r in out.raw.groupBy("scrape_date").count().collect()}
+    assert counts == {days[i]: 300 for i in (0, 3, 4, 6, 7)}
+    found = {r._source_file[2:12]: (r.status, r.row_count, r.reason) for r in out.report.collect()}
+    assert found == {
+        **{days[i]: ("ok", 300, None) for i in (0, 3, 4, 6, 7)},
+        **{d: ("failed", 0, "broken stream") for d in (days[1], days[2], days[5], "2026-07-01")},
+        days[8]: ("empty", 0, None),
+    }
+    assert out.quarantine.count() == 0
+
+
+def test_a_file_that_ends_inside_quotes_fails(spark, folder):
+    folder("a_1.csv", HEADER, line(scrape_date="1", city="Rome"), line(scrape_date="1", company_name='"never closed'), "more", "lines")
+    folder("b_2.csv", HEADER, line(scrape_date="2", company_name='"closed\nlater"'), line(scrape_date="2", city='a "b'))
+    out = ingest(spark, folder.path)
+    assert collect(out.report, "_source_file", "status", "row_count", "reason") == [
+        ("a_1.csv", "failed", 0, "open quote at the end"), ("b_2.csv", "ok", 2, None),
+    ]
+    assert collect(out.raw, "scrape_date", "company_name", "city") == [("2", "closed\nlater", None), ("2", None, 'a "b')]
+
+
+def test_carriage_returns_end_lines(spark, folder):
+    rows = [HEADER, line(scrape_date="1", city="Rome", scraped_at="x"), line(scrape_date="1", company_name='"a\nb"', scraped_at="y")]
+    for i, end in enumerate(["\r\n", "\r"]):
+        (folder.dir / f"a_{i}.csv").write_bytes((end.join(rows).replace("\n", end) if end == "\r" else "\r\n".join(rows)).encode() + end.encode())
+    out = ingest(spark, folder.path)
+    assert collect(out.report, "status", "row_count", "malformed") == [("ok", 2, 0)] * 2
+    assert collect(out.raw, "company_name", "city", "scraped_at") == sorted(
+        [(None, "Rome", "x"), ("a\nb", None, "y")] * 2, key=str
+    )
+
+
+def records_of(content):
+    """Records by a walk over all characters: quotes open a field at its first character only."""
+    records, field_start, inside, at = [""], True, False, 0
+    while at < len(content):
+        c = content[at]
+        if inside:
+            if c == '"' and content[at + 1 : at + 2] == '"':
+                records[-1] += c
+                at += 1
+            elif c == '"':
+                inside = False
+        elif c == '"' and field_start:
+            inside = True
+        if c == "\n" and not inside:
+            records.append("")
+            field_start = True
+        else:
+            records[-1] += c
+            field_start = not inside and c == ","
+        at += 1
+    return [r for r in records if r.strip(" ")], inside
+
+
+@pytest.mark.parametrize("split", [25, 1 << 27])
+def test_records_of_split_files_equal_a_walk_over_characters(spark, folder, split):
+    """However a file is cut into blocks, and whatever quotes its lines hold."""
+    from scrapeloom.sources import daily_csv
+
+    rng, contents = random.Random(11), {}
+    for i in range(25):
+        body = "".join(rng.choices('ab,"\n ', [6, 6, 5, 2 + i % 5, 3, 1], k=rng.randint(1, 900)))
+        contents[f"f_{i}.csv"] = body
+        (folder.dir / f"f_{i}.csv").write_text(body)
+    settings = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        lines = daily_csv.cut(daily_csv.land_lines(spark.read, folder.path), "lines")
+        records, open_ended = daily_csv.to_records(lines)
+        found = records.orderBy("_path", "_block_start", "_row_seq").collect()
+        still_open = {r[0].split("/")[-1] for r in open_ended.collect()}
+        if split < 100:
+            assert lines.select("_path", "_block_start").distinct().count() > 2 * len(contents)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 0 < len(still_open) < len(contents)
+    for name, body in contents.items():
+        expected, inside = records_of(body)
+        assert (name in still_open) == inside, name
+        if not inside:
+            own = [r for r in found if r._path.endswith("/" + name)]
+            assert [r.line for r in own] == expected, name
+            assert [r.width for r in own] == [len(fields_of(r)) for r in expected], name
+
+
+def fields_of(record):
+    fields, field_start, inside, at = [""], True, False, 0
+    while at < len(record):
+        c = record[at]
+        if inside and c == '"' and record[at + 1 : at + 2] == '"':
+            at += 1
+        elif inside:
+            inside = c != '"'
+        elif c == ",":
+            fields.append("")
+        elif c == '"' and field_start:
+            inside = True
+        field_start = not inside and c == ","
+        at += 1
+    return fields
+
+
+def test_a_file_of_spanning_fields_is_read_by_many_tasks(spark, folder):
+    rows = [line(scrape_date="2026-06-01", company_name=f'"two\nlines {i}"', city=str(i)) for i in range(1000)]
+    folder("a_2026-06-01.csv", HEADER, *rows)
+    size = (folder.dir / "a_2026-06-01.csv").stat().st_size
+    settings = {"spark.sql.files.maxPartitionBytes": str(size // 7), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        raw = ingest(spark, folder.path, row_order=True).raw
+        found = raw.orderBy("_block_start", "_row_seq").select("company_name", "city", "_block_start").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [r[:2] for r in found] == [(f"two\nlines {i}", str(i)) for i in range(1000)]
+    assert len({r._block_start for r in found}) >= 7
+
+
 def test_date_fallback_only_for_wholly_undated_files(spark, folder):
     folder("a_2026-06-01.csv", HEADER, line(city="Rome"), line(city="Bonn"))
     folder("b_2026-06-02.csv", HEADER, line(scrape_date="2026-06-05"), line(city="Oslo"))

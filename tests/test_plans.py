@@ -67,7 +67,7 @@ def test_no_query_multiplies_tables(spark, sf_dir):
 
 
 def test_python_functions_and_no_unbounded_collect():
-    """The ratio is the only UDF, the walk the only grouped function; nothing collects,
+    """The ratio, the walk and the proof of a stream are the only Python; nothing collects,
     caches or checkpoints locally. The optional corpus operators have a test of their own."""
     calls = {}
     for path in (ROOT / "scrapeloom").rglob("*.py"):
@@ -78,6 +78,7 @@ def test_python_functions_and_no_unbounded_collect():
             if name:
                 calls.setdefault(name, set()).add(path.stem)
     assert calls["pandas_udf"] == {"similarity"} and calls["applyInPandas"] == {"similar_names"}
+    assert calls["mapInArrow"] == {"daily_csv"}
     for banned in ("udf", "collect", "toPandas", "rdd", "localCheckpoint", "cache", "persist", "crossJoin"):
         assert banned not in calls, (banned, calls[banned])
 

@@ -440,6 +440,25 @@ ORACLES: dict[str, str] = {
         + ", ".join(f"case when {c} in {CSV_NA} then null else {c} end as {c}" for c in TEXT_COLUMNS)
         + f", _source_file, _file_date from ({LANDING_SQL})),\nraw as ({_RAW})\nselect * from raw"
     ),
+    "csv_faulty_files_report": _upto(
+        "landing",
+        """select _source_file, case when _file_date like '%5' then 'failed' else 'ok' end as status,
+        count(*) filter (where event_id % 50 <> 0 and _file_date not like '%5') as row_count,
+        count(*) filter (where event_id % 50 = 0 and _file_date not like '%5') as malformed,
+        case when _file_date like '%5' then 'broken stream' end as reason from landing group by _source_file, _file_date
+        union all select 'scrape_2024-02-01.csv', 'empty', 0, 0, null
+        union all select 'scrape_2024-02-02.csv', 'empty', 0, 0, null""",
+    ),
+    "csv_rows_of_whole_files": (
+        "with landing as (select event_id, "
+        + ", ".join(f"case when {c} in {CSV_NA} then null else {c} end as {c}" for c in TEXT_COLUMNS)
+        + f", _source_file, _file_date from ({LANDING_SQL})),\nwhole as (select * replace ("
+        + ", ".join(
+            f"case when event_id % 50 = 1 then null else {c} end as {c}" for c in TEXT_COLUMNS[5:] if c != "source_url"
+        )
+        + f") from landing where event_id % 50 <> 0 and _file_date not like '%5'),\nraw as ({_RAW.replace('landing l', 'whole l')})"
+        + "\nselect * exclude (source_url, _file_date) from raw"
+    ),
     "csv_ingest_report": _upto(
         "landing",
         """select _source_file, _file_date, 'ok' as status, count(*) as row_count,

@@ -300,6 +300,64 @@ def csv_schema_drift(s: Stages) -> DataFrame:
     )
 
 
+SHORT = daily_csv.CONTRACT[:5]  # the columns that a short line still has
+
+
+def export_faulty_days(s: Stages) -> str:
+    """Daily files as they arrive when things go wrong, compressed.
+
+    Every 50th line has a field too many, the one after it only the first five. The
+    file of each day that ends in 5 breaks off half way; of two more days one file
+    holds a header only and one nothing.
+    """
+    folder = f"{shared_dir(s.spark)}/export-{uuid.uuid4().hex}"
+    plain = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    columns = ["event_id", *daily_csv.CONTRACT]  # the number leads, so that a short line keeps it
+    cells = [F.col(c).cast("string") for c in columns]
+    whole, short = (F.to_csv(F.struct(*cells[:n]), plain) for n in (len(cells), 1 + len(SHORT)))
+    turn = F.col("event_id") % 50
+    value = F.when(turn == 0, F.concat(whole, F.lit(",surplus"))).when(turn == 1, short).otherwise(whole)
+    lines = s.landing.select(F.col("_file_date").alias("day"), F.lit(1).alias("place"), value.alias("value"))
+    header = ",".join(columns)
+    headers = lines.select("day").distinct().select("day", F.lit(0).alias("place"), F.lit(header).alias("value"))
+    files = lines.unionByName(headers).repartition("day").sortWithinPartitions("day", "place").drop("place")
+    files.write.partitionBy("day").option("compression", "gzip").text(f"{folder}/whole")
+
+    written = s.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{folder}/whole")
+    day = F.regexp_extract("path", "day=([^/]*)/", 1)
+    broken = cut(written.select(day.alias("day"), "path", "content").where(day.endswith("5")), "broken")
+    half = F.substring("content", 1, (F.octet_length("content") / 2).cast("int")).cast("string")
+    broken.select("day", half.alias("value")).write.partitionBy("day").text(f"{folder}/cut")
+    s.spark.createDataFrame([(header,)], "value string").coalesce(1).write.text(f"{folder}/whole/day=2024-02-01")
+    s.spark.createDataFrame([], "value string").coalesce(1).write.text(f"{folder}/whole/day=2024-02-02")
+
+    # a half file takes the place and the name of the compressed one
+    hadoop = s.spark._jvm.org.apache.hadoop.fs
+    files_of = hadoop.Path(folder).getFileSystem(s.spark._jsc.hadoopConfiguration())
+    for row in broken.select("day", "path").collect():  # names only, one a day
+        target = hadoop.Path(row.path)
+        files_of.delete(target, False)
+        found = files_of.globStatus(hadoop.Path(f"{folder}/cut/day={row.day}/part-*"))
+        files_of.rename(found[0].getPath(), target)
+    return folder
+
+
+def _faulty(s: Stages) -> daily_csv.Ingest:
+    name = daily_csv.day_folder_name()
+    return daily_csv.ingest(s.spark, f"{export_faulty_days(s)}/whole", pattern="part-*", recursive=True, source_name=name)
+
+
+@query
+def csv_faulty_files_report(s: Stages) -> DataFrame:
+    return _faulty(s).report.select("_source_file", "status", "row_count", "malformed", "reason")
+
+
+@query
+def csv_rows_of_whole_files(s: Stages) -> DataFrame:
+    rows = _faulty(s).raw.withColumn("event_id", F.col("event_id").cast("bigint"))
+    return rows.select("event_id", *daily_csv.CONTRACT, "_source_file")
+
+
 @query
 def written_row_check(s: Stages) -> DataFrame:
     warehouse = tables.Warehouse(s.spark, f"{shared_dir(s.spark)}/check-{uuid.uuid4().hex}")

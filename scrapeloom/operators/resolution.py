@@ -54,7 +54,7 @@ def _single_out(signals: DataFrame, nameless: str, order: Sequence[str]) -> Data
 
 
 def name_clusters(
-    signals: DataFrame, order: Sequence[str] = ROW_ORDER, pct: int = 90, **tuning: int
+    signals: DataFrame, order: Sequence[str] = ROW_ORDER, pct: int = 90, **tuning: float
 ) -> DataFrame:
     """Leader of each distinct name of the name tier: (tier, tier_key, leader_name).
 
@@ -127,11 +127,39 @@ def _facets(signals: DataFrame, clusters: DataFrame | None) -> DataFrame:
     )
 
 
-def build_entities(signals: DataFrame, clusters: DataFrame | None) -> DataFrame:
+def numbered(companies: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """Add ``entity_id``: the number a company has in ``registry``, or the next free ones.
+
+    New companies follow the highest number ever given, in order of tier and key, so
+    the first run numbers 1..n and later runs change no number. ``registry`` holds
+    ``tier``, ``entity_key`` and ``entity_id``, one row per company.
+    """
+    order = ["tier", "entity_key"]
+    if registry is None:
+        return common.dense_index(companies, order, "entity_id")
+    last = registry.agg(F.max("entity_id")).first()[0] or 0
+    known = companies.join(registry.select(*order, "entity_id"), order)
+    fresh = common.dense_index(companies.join(registry, order, "left_anti"), order, "entity_id")
+    fresh = fresh.withColumn("entity_id", F.col("entity_id") + F.lit(last))
+    return fresh.unionByName(known.select(*fresh.columns))
+
+
+def extended_registry(entities: DataFrame, registry: DataFrame | None = None) -> DataFrame:
+    """The registry after a run: all numbers given so far, also of companies no longer seen."""
+    own = entities.select("tier", "entity_key", "entity_id")
+    if registry is None:
+        return own
+    gone = registry.select(*own.columns).join(own, ["tier", "entity_key"], "left_anti")
+    return own.unionByName(gone.select(*own.columns))
+
+
+def build_entities(
+    signals: DataFrame, clusters: DataFrame | None, registry: DataFrame | None = None
+) -> DataFrame:
     """One line per company. The most frequent value wins, the lowest on ties.
 
     Three shuffles, each pre-aggregated on the map side: by full signal line,
-    by company and value, by company.
+    by company and value, by company. ``registry`` keeps earlier numbers.
     """
 
     def of(kind: str):
@@ -157,7 +185,7 @@ def build_entities(signals: DataFrame, clusters: DataFrame | None) -> DataFrame:
             F.count_if(of("name")).alias("unique_names"),
         )
     )
-    return common.dense_index(grouped, ["tier", "entity_key"], "entity_id")
+    return numbered(grouped if registry is None else cut(grouped, "companies"), registry)
 
 
 @dataclass
@@ -243,17 +271,19 @@ def resolve(
     order: Sequence[str] = ROW_ORDER,
     pct: int = 90,
     nameless: str = "merge",
-    **tuning: int,
+    registry: DataFrame | None = None,
+    **tuning: float,
 ) -> Resolution:
     """Resolve the written clean table to companies.
 
     ``order`` lists the columns that tell which row came first. ``pct`` is the
     name similarity in percent; 100 matches equal names only. ``nameless`` says
     whether rows without phone, site and name are one company (``merge``) or one
-    each (``singleton``).
+    each (``singleton``). With the ``registry`` of an earlier run its companies keep
+    their numbers.
     """
     if nameless not in ("merge", "singleton"):
         raise ValueError("nameless must be 'merge' or 'singleton'")
     signals = _single_out(add_signals(clean), nameless, order)
     clusters = cut(name_clusters(signals, order, pct, **tuning), "clusters") if pct < 100 else None
-    return Resolution(signals, clusters, build_entities(signals, clusters))
+    return Resolution(signals, clusters, build_entities(signals, clusters, registry))

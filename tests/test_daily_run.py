@@ -4,7 +4,7 @@ import pytest
 
 from scrapeloom.plans.daily_run import run_stages
 from scrapeloom.sources.daily_csv import CONTRACT
-from scrapeloom.sources.tables import Warehouse
+from scrapeloom.sources.tables import PublicationConflict, Warehouse
 
 COMPANIES = [
     ("Acme Legal", "(832) 516-2691 ext. 2", "Lgl", "https://www.acme.io/a"),
@@ -60,6 +60,58 @@ def test_run_publishes_all_tables(spark, tmp_path):
     assert not result.published and Warehouse(spark, warehouse.root).read("raw_scrape").count() == 12
 
 
+def test_companies_keep_their_numbers(spark, tmp_path):
+    """A new day brings companies that sort before the old ones; one of the old is gone."""
+    folder = tmp_path / "daily"
+    folder.mkdir()
+    write_days(folder, ["2026-06-01"])
+    warehouse = Warehouse(spark, str(tmp_path / "tables"))
+    assert run_stages(spark, str(folder), warehouse, "first").published
+    before = {r.canonical_name: r.entity_id for r in warehouse.read("entity_map").collect()}
+    assert sorted(before.values()) == [1, 2, 3, 4]
+    text = (folder / "scrape_2026-06-01.csv").read_text()
+    gone = [x for x in text.splitlines() if "Borealis Two" not in x]
+    day = "2026-06-02"
+    new = ",".join({"scrape_date": day, "company_name": "Aaa", "phone": "2000000000", "category": "ERP", "scraped_at": day}.get(c, "") for c in CONTRACT)
+    (folder / "scrape_2026-06-01.csv").write_text("\n".join(gone) + "\n")
+    (folder / "scrape_2026-06-02.csv").write_text("\n".join([",".join(CONTRACT), new]) + "\n")
+    assert run_stages(spark, str(folder), warehouse, "second").published
+    after = {r.canonical_name: r.entity_id for r in warehouse.read("entity_map").collect()}
+    assert after == {**{k: v for k, v in before.items() if k != "Borealis Two"}, "Aaa": 5}
+    ids = warehouse.read("entity_ids")
+    assert ids.count() == ids.select("entity_id").distinct().count() == 5  # no number is given again
+    summary = {r.tier: r.row_count for r in warehouse.read("resolution_summary").collect()}
+    assert summary["total"] == warehouse.read("clean_scrape").count()
+    assert {r.table_name for r in warehouse.read("model_row_counts").collect()} >= {"dim_entity", "fact_scrape"}
+
+
+def test_of_two_writers_one_publishes(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    writers = [Warehouse(spark, str(tmp_path)) for _ in range(4)]
+    for i, w in enumerate(writers):
+        w.begin(f"r{i}")
+        w.write(f"r{i}", "t", spark.range(i + 1))
+
+    def publish(i):
+        try:
+            return writers[i].publish(f"r{i}")
+        except PublicationConflict:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        numbers = list(pool.map(publish, range(4)))
+    winner = numbers.index(1)
+    assert sorted(map(str, numbers)) == ["1", "None", "None", "None"]
+    assert Warehouse(spark, str(tmp_path)).current_run() == f"r{winner}"
+    assert Warehouse(spark, str(tmp_path)).read("t").count() == winner + 1
+    late = next(i for i in range(4) if i != winner)
+    writers[late].begin("again")
+    writers[late].write("again", "t", spark.range(9))
+    assert writers[late].publish("again") == 2
+    assert writers[winner].current_run() == "again"
+
+
 def test_reconciliation_finds_lost_rows(spark, tmp_path):
     from scrapeloom.operators.quality import reconcile
 

@@ -475,6 +475,15 @@ ORACLES: dict[str, str] = {
         """select 'clean_scrape' as table_name, count(*) as rows_expected, count(*) as rows_written,
         true as matches from clean""",
     ),
+    "published_run": _upto("clean", "select 'all' as run, count(*) as row_count, 1 as refused from clean"),
+    "entity_ids_of_a_later_run": _upto(
+        "keyed",
+        """, early as (select distinct tier, tier_key from keyed where event_id % 60 = 0),
+        given as (select tier, tier_key as entity_key, row_number() over (order by tier, tier_key) as entity_id from early),
+        fresh as (select distinct tier, tier_key from keyed where event_id % 5 > 0 except select tier, tier_key from early)
+        select * from given union all
+        select tier, tier_key, (select count(*) from given) + row_number() over (order by tier, tier_key) from fresh""",
+    ),
     "entity_tiers": _upto("keyed", "select event_id, tier, tier_key from keyed"),
     "signal_counts": _upto(
         "keyed",

@@ -364,9 +364,38 @@ def written_row_check(s: Stages) -> DataFrame:
     return warehouse.write("check", "clean_scrape", s.clean)
 
 
+@query
+def published_run(s: Stages) -> DataFrame:
+    """Two runs published in turn, and one begun with the second but published after it."""
+    warehouse = tables.Warehouse(s.spark, f"{shared_dir(s.spark)}/runs-{uuid.uuid4().hex}")
+    days = {"early": F.col("_file_date") < "2024-01-16", "all": F.lit(True), "late": F.col("_file_date") >= "2024-01-16"}
+    refused = 0
+    for begun, run in ((["early"], "early"), (["all", "late"], "all"), ([], "late")):
+        for name in begun:
+            warehouse.begin(name)
+            warehouse.write(name, "clean_scrape", s.clean.where(days[name]))
+        try:
+            warehouse.publish(run)
+        except tables.PublicationConflict:
+            refused += 1
+    seen = tables.Warehouse(s.spark, warehouse.root)
+    counts = seen.read("clean_scrape").agg(F.count(F.lit(1)).alias("row_count"))
+    return counts.select(F.lit(seen.current_run()).alias("run"), "row_count", F.lit(refused).alias("refused"))
+
+
 # --- companies ----------------------------------------------------------------
 
 
+@query
+def entity_ids_of_a_later_run(s: Stages) -> DataFrame:
+    """Numbers after a second run, with those of a first one over other rows kept."""
+    signals = resolution.add_signals(s.clean)
+    early = resolution.build_entities(signals.where("event_id % 60 = 0"), None)
+    early = cut(resolution.extended_registry(early), "entity-ids")
+    later = cut(resolution.build_entities(signals.where("event_id % 5 > 0"), None, early), "companies")
+    return resolution.extended_registry(later, early)
+
+
 @query
 def entity_tiers(s: Stages) -> DataFrame:
     return resolution.add_signals(s.clean).select("event_id", "tier", "tier_key")

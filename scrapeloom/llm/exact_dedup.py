@@ -67,8 +67,22 @@ def exact_duplicates(
 
 
 def drop_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that stay, with all their columns."""
+    """One row of each group of equal texts, with all its columns.
+
+    It is a row with the group's smallest id; of several such rows, as of rows without
+    id in a group that has none, any one. Rows are told apart by id and text, so a row
+    that shares its id with a copy stays if its own text is another.
+    """
     names = df.columns
-    packed = common.whole_row(df).withColumn("key", F.col("row")[f"_{names.index(id_col)}"])
-    gone = exact_duplicates(df, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("key")).distinct()
-    return common.unpacked(packed.join(gone, "key", "left_anti"), names)
+    decided = exact_duplicates(df, id_col, text_col)
+    fates = decided.groupBy("doc_id", "text_sha256").agg(
+        F.first("kept").alias("kept"), F.count(F.lit(1)).alias("times")
+    )
+    fates = cut(fates.where("not kept or times > 1"), "fates")  # the others are one row each and stay
+    packed = common.whole_row(df)
+    digest = F.sha2(normalised(F.col("row")[f"_{names.index(text_col)}"]), 256)
+    packed = packed.withColumn("key", F.struct(F.col("row")[f"_{names.index(id_col)}"].alias("id"), digest.alias("digest")))
+    listed = fates.select(F.struct(F.col("doc_id").alias("id"), F.col("text_sha256").alias("digest")).alias("key"), "kept")
+    single = packed.join(listed, "key", "left_anti")
+    repeated = packed.join(listed.where("kept"), "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
+    return common.unpacked(single.select("row").unionByName(repeated.select("row")), names)

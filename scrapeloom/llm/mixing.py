@@ -99,6 +99,18 @@ def rake(
     return state.select(*cells.columns, probability(state).alias("probability"))
 
 
+def _labels(topic: Column | None, seed: int) -> list[Column]:
+    """Cell, tokens and draw of a row with ``doc_id``, ``text``, ``source`` and ``lang``."""
+    return [
+        common.text_of(F.col("source").cast("string")).alias("source"),
+        common.text_of(F.col("lang").cast("string")).alias("lang"),
+        (text_form() if topic is None else topic).alias("topic"),
+        word_count().alias("tokens"),
+        # the 53 highest bits of a hash, as a number from 0 to 1
+        (F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 11) / F.lit(float(1 << 53))).alias("draw"),
+    ]
+
+
 def sample_to_targets(
     df: DataFrame,
     targets: Targets,
@@ -124,15 +136,7 @@ def sample_to_targets(
     never sampled. An empty table gives no rows; other columns are ignored.
     """
     rows = common.pick(df, doc_id=id_col, text=text_col, source=source_col, lang=lang_col)
-    labelled = rows.select(
-        "doc_id",
-        common.text_of(F.col("source").cast("string")).alias("source"),
-        common.text_of(F.col("lang").cast("string")).alias("lang"),
-        (text_form() if topic is None else topic).alias("topic"),
-        word_count().alias("tokens"),
-        # the 53 highest bits of a hash, as a number from 0 to 1
-        (F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit(seed)), 11) / F.lit(float(1 << 53))).alias("draw"),
-    )
+    labelled = rows.select("doc_id", *_labels(topic, seed))
     labelled = cut(labelled, "labelled")
     cells = labelled.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
     fitted = rake(cut(cells, "counted"), targets, **fitting)
@@ -144,11 +148,30 @@ def sample_to_targets(
     )
 
 
-def keep_sampled(df: DataFrame, targets: Targets, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``df`` that are sampled, with all their columns."""
+def keep_sampled(
+    df: DataFrame,
+    targets: Targets,
+    topic: Column | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    lang_col: str = "lang",
+    seed: int = 1,
+    **fitting,
+) -> DataFrame:
+    """The rows of ``df`` that :func:`sample_to_targets` samples, with all their columns.
+
+    Each row meets the probability of its cell itself, so rows that share an id, or
+    have none, are decided by their own texts.
+    """
     names = df.columns
-    at = {k: names.index(c) for k, c in (("id", id_col), ("text", text_col))}
-    decided = sample_to_targets(df, targets, id_col=id_col, text_col=text_col, **options)
-    gone = decided.where(~F.col("sampled")).select(F.col("doc_id").alias("key")).distinct()
-    packed = common.whole_row(df).withColumn("key", F.col("row")[f"_{at['id']}"])
-    return common.unpacked(packed.join(gone, "key", "left_anti"), names)
+    wanted = {"doc_id": id_col, "text": text_col, "source": source_col, "lang": lang_col}
+    packed = common.whole_row(df)
+    packed = packed.select("row", *[F.col("row")[f"_{names.index(c)}"].alias(n) for n, c in wanted.items()])
+    labelled = packed.select("row", "doc_id", *_labels(topic, seed))
+    cells = labelled.groupBy("source", "lang", "topic").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
+    fitted = rake(cut(cells, "counted"), targets, **fitting)
+    key = F.concat_ws("\u0001", "source", "lang", "topic")
+    lookup = cut(fitted.select(key.alias("cell"), "rows", "probability"), "fitted")
+    found = common.join_hot(labelled.select("row", "doc_id", "draw", key.alias("cell")), lookup, "cell", "rows", "draw")
+    return common.unpacked(found.where("draw < probability"), names)

@@ -40,6 +40,7 @@ ROW_ORDER = ("_block_start", "_row_seq")
 INTERNAL = (*LINEAGE, *ROW_ORDER, "_malformed", "_path", "_uri", "_record", "_cells")
 # Endings of compressed files, and the streams their proof can read.
 GZIP, DEFLATE, BZIP2 = "gz", "deflate", "bz2"
+UNPROVEN = ("zst", "lz4", "snappy")  # compressed too, but admitted without proof
 
 
 def normalise_header(cells: Sequence[str]) -> list[str]:
@@ -325,9 +326,10 @@ def inspect_files(listing: DataFrame, lines: DataFrame, unpacked: DataFrame, ope
         (F.max("spans") == 1).alias("multi_line"),
         F.min(F.when(F.col("first").isNotNull(), place)).alias("header_place"),
     )
-    packed = F.element_at(F.split("_path", r"\."), -1).isin(GZIP, DEFLATE, BZIP2)
-    due = F.when(packed, F.col("unpacked")).otherwise(F.col("bytes"))
+    ending = F.element_at(F.split("_path", r"\."), -1)
+    packed = ending.isin(GZIP, DEFLATE, BZIP2)
     read = F.coalesce("octets", F.lit(0))
+    due = F.when(packed, F.col("unpacked")).when(ending.isin(*UNPROVEN) & (read > 0), read).otherwise(F.col("bytes"))
     # the last line may lack its end, and the scan leaves out a byte order mark
     complete = (read - due).isin(0, 1, -3, -2)
     reason = (

@@ -286,6 +286,11 @@ _Q1 = """select scrape_date, category, count(phone_clean) as unique_phones
 _Q3 = """select canonical_name as entity_name, categories, first_seen from entity_map
     where categories like '%|%'"""
 
+_Q3_KNOWN = """select canonical_name as entity_name, categories, first_seen from entity_map
+    where len(list_filter(string_split(categories, '|'), lambda x: x <> 'Unknown')) > 1"""
+
+_FIRST_DAY = _KEYED + " where _file_date = '2024-01-01'"
+
 _Q4 = f"""select unnest(map_keys(seen)) as domain, unnest(map_values(seen))::bigint as row_count
     from (select histogram({_site_key('website_clean')}) as seen from fact where website_clean is not null)
     order by row_count desc, domain limit 10"""
@@ -484,9 +489,9 @@ ORACLES: dict[str, str] = {
     "published_run": _upto("clean", "select 'all' as run, count(*) as row_count, 1 as refused from clean"),
     "entity_ids_of_a_later_run": _upto(
         "keyed",
-        """, early as (select distinct tier, tier_key from keyed where event_id % 60 = 0),
+        """, early as (select distinct tier, tier_key from keyed where _file_date = '2024-01-01'),
         given as (select tier, tier_key as entity_key, row_number() over (order by tier, tier_key) as entity_id from early),
-        fresh as (select distinct tier, tier_key from keyed where event_id % 5 > 0 except select tier, tier_key from early)
+        fresh as (select distinct tier, tier_key from keyed except select tier, tier_key from early)
         select * from given union all
         select tier, tier_key, (select count(*) from given) + row_number() over (order by tier, tier_key) from fresh""",
     ),
@@ -568,11 +573,9 @@ ORACLES: dict[str, str] = {
     "q1_daily_unique_phones": _upto("fact", _Q1),
     "q2_new_vs_returning": _upto("fact", _Q2),
     "q3_cross_category_entities": _upto("entity_map", _Q3),
-    "q3_cross_category_known_labels": _upto(
-        "entity_map",
-        """select canonical_name as entity_name, categories, first_seen from entity_map
-        where len(list_filter(string_split(categories, '|'), lambda x: x <> 'Unknown')) > 1""",
-    ),
+    "q3_cross_category_known_labels": _upto("entity_map", _Q3_KNOWN),
+    "q3_cross_category_of_the_first_day": _upto("entity_map", _Q3, keyed=_FIRST_DAY),
+    "q3_known_labels_of_the_first_day": _upto("entity_map", _Q3_KNOWN, keyed=_FIRST_DAY),
     "q4_top_domains": _upto("fact", _Q4),
     "q5_weekly_change": _upto(
         "weekly",
@@ -613,6 +616,17 @@ ORACLES: dict[str, str] = {
         union all select 'entity_id_unique', count(*) - count(distinct entity_id) from entity_map
         union all select 'daily_volume_in_band', count(*) filter (where not within_band) from ({_ROLLING}))""",
     ),
+    "dq_violations_of_spoilt_rows": _upto(
+        "clean",
+        f"""select event_id, 'phone_ten_digits' as check_name from clean where event_id % 7 = 0 and phone_clean is not null
+        union all select event_id, 'category_canonical' from clean where category is null or category not in {_CANONICAL}
+            or event_id % 13 = 0
+        union all select event_id, 'bad_date' from clean where event_id % 11 = 0""",
+    ),
+    "dq_entities_written_twice": _upto(
+        "entities", "select entity_id, cast(2 as bigint) as row_count from entities where tier < 3"
+    ),
+    "fact_ids": _upto("fact", "select count(*) as row_count, count(*) as fact_ids from fact"),
     "dq_phone_not_null": _upto("clean", "select event_id, phone from clean where phone_clean is null"),
     "dq_category_canonical": _upto(
         "clean",

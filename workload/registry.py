@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from collections.abc import Callable
 
@@ -388,11 +389,11 @@ def published_run(s: Stages) -> DataFrame:
 
 @query
 def entity_ids_of_a_later_run(s: Stages) -> DataFrame:
-    """Numbers after a second run, with those of a first one over other rows kept."""
+    """Numbers after all days, with those of a run over the first day kept."""
     signals = resolution.add_signals(s.clean)
-    early = resolution.build_entities(signals.where("event_id % 60 = 0"), None)
+    early = resolution.build_entities(signals.where("_file_date = '2024-01-01'"), None)
     early = cut(resolution.extended_registry(early), "entity-ids")
-    later = cut(resolution.build_entities(signals.where("event_id % 5 > 0"), None, early), "companies")
+    later = cut(resolution.build_entities(signals, None, early), "companies")
     return resolution.extended_registry(later, early)
 
 
@@ -535,6 +536,23 @@ def q3_cross_category_known_labels(s: Stages) -> DataFrame:
     return reports.cross_category_entities(s.star(), exclude_unknown=True)
 
 
+def _first_day(s: Stages) -> model.Star:
+    """The star with the companies of the first day only, few of which have all categories."""
+    signals = resolution.add_signals(s.clean.where("_file_date = '2024-01-01'"))
+    found = resolution.Resolution(signals, None, cut(resolution.build_entities(signals, None), "companies"))
+    return dataclasses.replace(s.star(), dim_entity=model.dim_entity(found.entity_map))
+
+
+@query
+def q3_cross_category_of_the_first_day(s: Stages) -> DataFrame:
+    return reports.cross_category_entities(_first_day(s))
+
+
+@query
+def q3_known_labels_of_the_first_day(s: Stages) -> DataFrame:
+    return reports.cross_category_entities(_first_day(s), exclude_unknown=True)
+
+
 @query
 def q4_top_domains(s: Stages) -> DataFrame:
     return reports.top_sites(s.star().fact_scrape)
@@ -601,3 +619,46 @@ def dq_phone_ten_digits(s: Stages) -> DataFrame:
 @query
 def dq_bad_dates(s: Stages) -> DataFrame:
     return model.bad_dates(s.clean).select("event_id", "scrape_date")
+
+
+def _spoilt(s: Stages) -> DataFrame:
+    """The clean rows with phones that lack a digit, and dates and labels that are none."""
+    number = F.col("event_id")
+    return s.clean.withColumns(
+        {
+            "phone_clean": F.when(number % 7 == 0, F.substring("phone_clean", 2, 9)).otherwise(F.col("phone_clean")),
+            "scrape_date": F.when(number % 11 == 0, F.concat(F.lit("2024-13-"), number.cast("string"))).otherwise(
+                F.col("scrape_date")
+            ),
+            "category": F.when(number % 13 == 0, F.lower("category")).otherwise(F.col("category")),
+        }
+    )
+
+
+@query
+def dq_violations_of_spoilt_rows(s: Stages) -> DataFrame:
+    """Which row breaks which check."""
+    rows = _spoilt(s)
+    broken = [
+        quality.violations(rows, check).select("event_id", F.lit(check).alias("check_name"))
+        for check in ("phone_ten_digits", "category_canonical")
+    ]
+    return broken[0].unionByName(broken[1]).unionByName(
+        model.bad_dates(rows).select("event_id", F.lit("bad_date").alias("check_name"))
+    )
+
+
+@query
+def dq_entities_written_twice(s: Stages) -> DataFrame:
+    """Each company of a tier below the last is in the dimension once more."""
+    dim = s.star().dim_entity
+    again = s.resolution().entities.where("tier < 3").select("entity_id")
+    return quality.duplicate_entities(dim.unionByName(dim.join(again, "entity_id", "left_semi")))
+
+
+@query
+def fact_ids(s: Stages) -> DataFrame:
+    """Rows of the fact and numbers among them: as many."""
+    return s.star().fact_scrape.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("fact_id").alias("fact_ids")
+    )

@@ -94,7 +94,8 @@ class Warehouse:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(place)
         if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
             return None
-        files = self.spark.read.schema("run string, folder string").json(place)
+        reader = self.spark.read.schema("run string, folder string").option("pathGlobFilter", "[0-9]*.json")
+        files = reader.json(place)
         number = F.regexp_extract("_metadata.file_name", "^(\\d+)", 1).cast("bigint")
         return files.select(number.alias("number"), "run", "folder")
 

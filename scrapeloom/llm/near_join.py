@@ -10,11 +10,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.pair_ranges import PairRanges
 from ..session import cut
 from . import common
 
+ROW = ("doc_id", "absent", "value", "digest")  # the last three tell rows of different id or text apart
 SKETCH = 1 << 17  # counters of the frequency sketch
 STARS, ROUNDS = 4, 3  # members of a bucket that all others meet first, and how often
+SIGNATURE = 16  # 64-bit words of a node's bitmap of n-grams
+HELD = 1 << 20  # hashes counted together
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
@@ -65,6 +69,13 @@ def _hash_bucket(values: np.ndarray) -> np.ndarray:
     return (values >> np.uint64(40)).astype(np.int64) & (SKETCH - 1)
 
 
+def _bitmap(values: np.ndarray) -> np.ndarray:
+    """One bit for the hash of every n-gram; two sets with few common bits share few n-grams."""
+    bits = np.zeros(64 * SIGNATURE, bool)
+    bits[(values >> np.uint64(20)).astype(np.int64) % len(bits)] = True
+    return np.packbits(bits).view(np.int64)
+
+
 def _texts(batch: pa.RecordBatch, column: str = "text"):
     data, offsets = common.utf8(batch.column(column))
     buffer = data.tobytes()
@@ -76,10 +87,16 @@ def frequency_sketch(rows: DataFrame, words: int) -> np.ndarray:
 
     def count(batches):
         totals = np.zeros(SKETCH, np.int64)
+        found, held = [], 0
         for batch in batches:
-            found = [_hash_bucket(shingles(t, words)) for t in _texts(batch)]
-            if found:
-                totals += np.bincount(np.concatenate(found), minlength=SKETCH)
+            for text in _texts(batch):
+                found.append(_hash_bucket(shingles(text, words)))
+                held += len(found[-1])
+                if held > HELD:
+                    totals += np.bincount(np.concatenate(found), minlength=SKETCH)
+                    found, held = [], 0
+        if found:
+            totals += np.bincount(np.concatenate(found), minlength=SKETCH)
         used = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], ["bucket", "n"])
 
@@ -91,14 +108,15 @@ def frequency_sketch(rows: DataFrame, words: int) -> np.ndarray:
 
 
 def _signatures(rows: DataFrame, words: int, threshold: Threshold, counts: np.ndarray) -> DataFrame:
-    """Per row: size and key of its set, and its prefix, rarest n-grams first."""
+    """Per row: size, key and bitmap of its set, and its prefix, rarest n-grams first."""
     shared = rows.sparkSession.sparkContext.broadcast(counts)  # SKETCH numbers
 
     def work(batch: pa.RecordBatch):
-        sizes, keys, prefixes = [], [], []
+        sizes, keys, prefixes, bitmaps = [], [], [], []
         for text in _texts(batch):
             found = shingles(text, words)
             sizes.append(len(found))
+            bitmaps.append(_bitmap(found))
             if len(found):
                 keys.append(xxhash.xxh3_128_hexdigest(found.tobytes()))
                 order = np.lexsort((found, shared.value[_hash_bucket(found)]))
@@ -108,12 +126,17 @@ def _signatures(rows: DataFrame, words: int, threshold: Threshold, counts: np.nd
                 prefixes.append(found)
         ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes).view(np.int64)))
+        steps = pa.array(np.arange(len(bitmaps) + 1, dtype=np.int32) * SIGNATURE)
+        signature = pa.ListArray.from_arrays(steps, pa.array(np.concatenate(bitmaps)))
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c) for c in ("doc_id", "absent", "value")], pa.array(sizes, pa.int64()), pa.array(keys, pa.string()), lists],
-            ["doc_id", "absent", "value", "n", "key", "prefix"],
+            [*[batch.column(c) for c in ROW], pa.array(sizes, pa.int64()), pa.array(keys, pa.string()), lists, signature],
+            [*ROW, "n", "key", "prefix", "signature"],
         )
 
-    schema = "doc_id bigint, absent boolean, value bigint, n bigint, key string, prefix array<bigint>"
+    schema = (
+        "doc_id bigint, absent boolean, value bigint, digest bigint, n bigint, key string, prefix array<bigint>, "
+        "signature array<bigint>"
+    )
     return common.arrow_map(rows, work, schema)
 
 
@@ -121,9 +144,9 @@ def _sets_of(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int) ->
     """(node, items) of the nodes in pairs, made again from the text of their first row."""
     met = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = cut(nodes.join(met, "node").select("node", "key", F.col("first.*")), "wanted")
-    texts = common.likely(rows, F.col("value"), wanted.select("value")).join(wanted, ["absent", "value"])
+    texts = common.likely(rows, F.col("value"), wanted.select("value")).join(wanted, list(ROW[1:]))
     # rows that repeat an id and a text are one; the join has dealt them out by id already
-    texts = texts.withColumn("h", F.xxhash64("text")).dropDuplicates(["absent", "value", "node", "h"])
+    texts = texts.dropDuplicates([*ROW[1:], "node"])
 
     def work(batch: pa.RecordBatch):
         found = []
@@ -137,6 +160,24 @@ def _sets_of(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int) ->
     return cut(common.arrow_map(texts.select("node", "key", "text"), work, "node bigint, items binary"), "sets")
 
 
+def _possible(pairs: DataFrame, nodes: DataFrame, threshold: Threshold) -> DataFrame:
+    """The pairs (a, b) whose bitmaps allow a link.
+
+    A bit of a that b lacks stands for at least one n-gram of a that b lacks, so no
+    linked pair is lost. A pair carries two bitmaps here, not two sets.
+    """
+    for side in ("a", "b"):
+        own = nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("signature").alias(f"bits_{side}"))
+        pairs = pairs.join(own, side)
+
+    def shared(x: str, y: str) -> Column:
+        lacking = [F.bit_count(F.col(f"bits_{x}")[i].bitwiseAND(F.bitwise_not(F.col(f"bits_{y}")[i]))) for i in range(SIGNATURE)]
+        return F.col(f"n_{x}") - sum(lacking[1:], lacking[0])
+
+    enough = threshold.percent * (F.col("n_a") + F.col("n_b"))
+    return pairs.where(F.least(shared("a", "b"), shared("b", "a")) * (100 + threshold.percent) >= enough).select("a", "b")
+
+
 def _may_link(x: np.ndarray, y: np.ndarray, least: int) -> bool:
     """Suffix filter: at pivots of one set, the parts of both bound what they can share."""
     pivots = y[np.linspace(0, len(y) - 1, min(9, len(y))).astype(int)]
@@ -189,38 +230,48 @@ def link_classes(
     ``component_id``. Repeated rows get equal results; an empty table none; other
     columns are ignored. N-grams are compared by 64-bit hashes.
     """
-    threshold = Threshold(percent)
+    found = _classified(_rows(df, id_col, text_col), words, Threshold(percent))
+    own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Id and text, and where a row's text is found again: by its id, without id by a hash of the text."""
     rows = common.pick(df, doc_id=id_col, text=text_col)
     rows = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    # where a row's text is found again: by its id, without id by a hash of the text
-    rows = rows.withColumns(
-        {"absent": F.col("doc_id").isNull(), "value": F.coalesce("doc_id", F.xxhash64("text"))}
-    )
+    digest = F.xxhash64("text")
+    return rows.withColumns({"absent": F.col("doc_id").isNull(), "value": F.coalesce("doc_id", digest), "digest": digest})
+
+
+def _classified(rows: DataFrame, words: int, threshold: Threshold) -> DataFrame:
+    """``rows`` without texts, with the size of the set, the smallest id of the class and its first row."""
     counts = frequency_sketch(rows, words)
     signed = cut(_signatures(rows, words, threshold, counts), "signed")
-    nodes = signed.where("n > 0").groupBy("key", "n", "prefix")
-    nodes = nodes.agg(F.min(F.struct("absent", "value")).alias("first"), F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("rows"))
+    nodes = signed.where("n > 0").groupBy("key", "n", "prefix", "signature")
+    first_row = F.min(F.struct(*ROW[1:])).alias("first")
+    nodes = nodes.agg(first_row, F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("rows"))
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     postings = nodes.select("node", "n", F.posexplode("prefix").alias("place", "gram"))
-    shared = cut(postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("gram"), "shared")
-    buckets = cut(common.likely(postings, F.col("gram"), shared).join(shared, "gram"), "buckets")
-    links = cut(_all_links(nodes, rows, buckets, words, threshold), "links")
-    member = cut(common.components(links), "members")
-    first = nodes.join(member, "node").groupBy("component").agg(F.min("first_doc").alias("component_id"))
+    shared = cut(postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
+    grams = shared.select("gram")
+    buckets = cut(common.likely(postings, F.col("gram"), grams).join(grams, "gram"), "buckets")
+    open_pairs = shared.agg(F.sum(F.col("size").cast("double") * (F.col("size") - 1) / 2)).first()[0] or 0
+    member = cut(common.components(_all_links(nodes, rows, buckets, words, threshold, open_pairs)), "members")
+    least = [F.min("first_doc").alias("component_id"), F.min("first").alias("class_first")]
+    first = nodes.join(member, "node").groupBy("component").agg(*least)
     named = nodes.join(member, "node", "left").join(first, "component", "left")
-    lookup = cut(named.select("key", "rows", F.coalesce("component_id", "first_doc").alias("component_id")), "classes")
-    found = common.join_hot(signed.select("doc_id", "n", "key"), lookup, "key", "rows", "doc_id")
-    own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    lookup = named.select("key", "rows", F.coalesce("component_id", "first_doc").alias("component_id"), F.coalesce("class_first", "first").alias("first"))
+    return common.join_hot(signed.select(*ROW, "n", "key"), cut(lookup, "classes"), "key", "rows", "value")
 
 
-def _all_links(nodes: DataFrame, rows: DataFrame, buckets: DataFrame, words: int, threshold: Threshold) -> DataFrame:
+def _all_links(nodes: DataFrame, rows: DataFrame, buckets: DataFrame, words: int, threshold: Threshold, open_pairs: float) -> DataFrame:
     """Links (a, b) that connect all nodes which any link connects.
 
     In each round all members of a bucket meet STARS of them, unless links connect
-    them already. At the end members whose classes are still apart meet each other;
-    the rounds stop as soon as that makes no more pairs than another round.
+    them already. At the end members whose classes are still apart meet each other,
+    in equal ranges of pairs; the rounds stop as soon as that makes no more pairs than
+    another round, or a round leaves more than half of the ``open_pairs`` before it.
     """
 
     fields = ("node", "n", "place", "component")
@@ -233,9 +284,13 @@ def _all_links(nodes: DataFrame, rows: DataFrame, buckets: DataFrame, words: int
         centre = F.min(F.struct(order.alias("order"), *fields)).alias("c")
         return state.groupBy("gram").agg(centre).select("gram", *[F.col(f"c.{c}").alias(c + "_v") for c in fields])
 
-    def pairs(met: DataFrame) -> DataFrame:
-        met = met.where((F.col("component_u") != F.col("component_v")) & threshold.can_link("n_u", "n_v", "place_u", "place_v"))
-        return met.select(F.least("node_u", "node_v").alias("a"), F.greatest("node_u", "node_v").alias("b")).distinct()
+    def apart_and_near(u: str, v: str) -> Column:
+        near = threshold.can_link(f"n{u}", f"n{v}", f"place{u}", f"place{v}")
+        return (F.col(f"component{u}") != F.col(f"component{v}")) & near
+
+    def verified(met: DataFrame) -> DataFrame:
+        possible = cut(_possible(met, nodes, threshold), "possible")
+        return _verified(possible, _sets_of(possible, nodes, rows, words), threshold)
 
     links = tried = nodes.sparkSession.createDataFrame([], "a bigint, b bigint")
     state = buckets.withColumn("component", F.col("node"))
@@ -243,8 +298,10 @@ def _all_links(nodes: DataFrame, rows: DataFrame, buckets: DataFrame, words: int
         centres = star(state, turn * STARS)
         for k in range(1, STARS):
             centres = centres.unionByName(star(state, turn * STARS + k))
-        met = cut(pairs(state.select("gram", *member("_u")).join(centres.distinct(), "gram")).join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = cut(_verified(met, _sets_of(met, nodes, rows, words), threshold), "verified")
+        met = state.select("gram", *member("_u")).join(centres.distinct(), "gram").where(apart_and_near("_u", "_v"))
+        met = met.select(F.least("node_u", "node_v").alias("a"), F.greatest("node_u", "node_v").alias("b")).distinct()
+        met = cut(met.join(tried, ["a", "b"], "left_anti"), "pairs")
+        found = cut(verified(met), "verified")
         links, tried = links.unionByName(found), tried.unionByName(met)
         classes = cut(common.components(links), "members")
         state = cut(buckets.join(classes, "node", "left").withColumn("component", F.coalesce("component", "node")), "state")
@@ -253,17 +310,28 @@ def _all_links(nodes: DataFrame, rows: DataFrame, buckets: DataFrame, words: int
         apart = cut(apart.where("parts > 1").select("gram", "members", "within"), "apart")
         members, left = apart.agg(F.sum("members"), F.sum((F.col("members") * F.col("members") - F.col("within")) / 2)).first()
         state = cut(state.join(apart.select("gram"), "gram"), "state")
-        if (left or 0) <= STARS * (members or 0):  # one more round would make as many pairs
+        left, before = left or 0, open_pairs
+        if left <= STARS * (members or 0) or 2 * left > before:
             break
-    rest = pairs(state.select("gram", *member("_u")).join(state.select("gram", *member("_v")), "gram").where("node_u < node_v"))
-    rest = cut(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    return links.unionByName(_verified(rest, _sets_of(rest, nodes, rows, words), threshold))
+        open_pairs = left
+    side = state.select(F.col("gram").alias("block"), F.col("node").alias("ord"), "n", "place", "component")
+    met = PairRanges(side, side).meet((F.col("ord_a") < F.col("ord_b")) & apart_and_near("_a", "_b"))
+    rest = met.select(F.col("ord_a").alias("a"), F.col("ord_b").alias("b")).distinct()
+    return links.unionByName(verified(cut(rest.join(tried, ["a", "b"], "left_anti"), "rest")))
 
 
 def keep_one(df: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` that are the first of their class, with all their columns."""
+    """The rows of ``df`` that are the first of their class, with all their columns.
+
+    The first row is the one of the smallest id, null ids last, and of equal ids the one
+    of the smallest text hash. Rows are told apart by id and text, so another text
+    under the id of a dropped row stays; rows that repeat both stay or go together.
+    Texts without words stay.
+    """
     names = df.columns
-    classes = link_classes(df, words, percent, id_col, text_col)
-    gone = classes.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("key")).distinct()
-    packed = common.whole_row(df).withColumn("key", F.col("row")[f"_{names.index(id_col)}"])
-    return common.unpacked(packed.join(gone, "key", "left_anti"), names)
+    found = _classified(_rows(df, id_col, text_col), words, Threshold(percent))
+    gone = found.where((F.col("n") > 0) & (F.struct(*ROW[1:]) != F.col("first"))).select(*ROW[1:]).distinct()
+    packed = common.whole_row(df)
+    key, text = F.col("row")[f"_{names.index(id_col)}"].cast("bigint"), F.col("row")[f"_{names.index(text_col)}"]
+    packed = packed.withColumns({"absent": key.isNull(), "value": F.coalesce(key, F.xxhash64(text)), "digest": F.xxhash64(text)})
+    return common.unpacked(packed.join(gone, list(ROW[1:]), "left_anti"), names)

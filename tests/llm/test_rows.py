@@ -1,14 +1,16 @@
 """Which rows the filtering operators keep, row by row, and what reaches the driver."""
 
 import ast
+import random
 import re
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scrapeloom.llm import exact_dedup, mixing, pieces
+from scrapeloom.llm import exact_dedup, mixing, near_join, pieces
 from scrapeloom.llm.queries import MIX, PIECES
 
 ROWS = [
@@ -73,3 +75,35 @@ def test_what_reaches_the_driver_is_bounded():
             found.add(path.stem)
         assert not names & {"localCheckpoint", "rdd", "crossJoin", "cache", "persist"}, path
     assert found == set(bounded)
+
+
+def test_near_join_keeps_other_texts_of_a_dropped_id(spark):
+    """Rows are dropped by id and text, also where the id is null or repeated."""
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base), (2, base + " end"), (2, "something quite different that nobody else holds"), (None, base + " stop"),
+            (None, ""), (None, None), (3, None), (4, "lone words here")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {(r.doc_id, r.text) for r in near_join.keep_one(df).collect()}
+    assert kept == set(rows) - {rows[1], rows[3]}
+
+
+def test_bitmaps_lose_no_linked_pair(spark):
+    """All pairs of related texts of very different sizes: what links passes the bitmap filter."""
+    rng = random.Random(5)
+    texts = []
+    for size in (6, 40, 300, 4000):
+        base = [f"w{rng.randrange(900)}" for _ in range(size)]
+        texts += [" ".join(base[: size - size * cut // 100] + [f"x{cut}"] * (cut % 3)) for cut in range(0, 30, 2)]
+    limit = near_join.Threshold(85)
+    found = [near_join.shingles(t.encode(), 4) for t in texts]
+    nodes = spark.createDataFrame(
+        [(i, len(f), near_join._bitmap(f).tolist()) for i, f in enumerate(found)], "node bigint, n bigint, signature array<bigint>"
+    )
+    every = [(i, j) for i in range(len(found)) for j in range(i)]
+    passed = {tuple(r) for r in near_join._possible(spark.createDataFrame(every, "a bigint, b bigint"), nodes, limit).collect()}
+    linked = set()
+    for i, j in every:
+        both = len(np.intersect1d(found[i], found[j]))
+        if limit.linked(both, len(found[i]), len(found[j])):
+            linked.add((i, j))
+    assert linked and linked <= passed and len(passed) < len(every) / 2

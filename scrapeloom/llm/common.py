@@ -114,6 +114,7 @@ def arrow_map(
         for batch in batches:
             if batch.num_rows:
                 yield from work(batch)
+        pa.default_memory_pool().release_unused()  # the worker process lives on
 
     return df.mapInArrow(run, schema)
 

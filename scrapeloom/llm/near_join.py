@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +17,8 @@ from . import common
 
 ROW = ("doc_id", "absent", "value", "digest")  # the last three tell rows of different id or text apart
 SKETCH = 1 << 17  # counters of the frequency sketch
-STARS, ROUNDS = 4, 3  # members of a bucket that all others meet first, and how often
-SIGNATURE = 16  # 64-bit words of a node's bitmap of n-grams
+STARS, ROUNDS = 2, 3  # members of a bucket that all others meet first, and how often
+SIGNATURE, FOLDED = 16, 4  # 64-bit words of a node's bitmap of n-grams, and of the shorter one in buckets
 HELD = 1 << 20  # hashes counted together
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
@@ -78,8 +79,7 @@ def _bitmap(values: np.ndarray) -> np.ndarray:
 
 def _texts(batch: pa.RecordBatch, column: str = "text"):
     data, offsets = common.utf8(batch.column(column))
-    buffer = data.tobytes()
-    return (buffer[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()))
+    return (data[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()))
 
 
 def frequency_sketch(rows: DataFrame, words: int) -> np.ndarray:
@@ -160,22 +160,35 @@ def _sets_of(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int) ->
     return cut(common.arrow_map(texts.select("node", "key", "text"), work, "node bigint, items binary"), "sets")
 
 
-def _possible(pairs: DataFrame, nodes: DataFrame, threshold: Threshold) -> DataFrame:
-    """The pairs (a, b) whose bitmaps allow a link.
+def _folded() -> Column:
+    """The bitmap of a node, folded to FOLDED words."""
+    def word(i: int) -> Column:
+        return reduce(Column.bitwiseOR, [F.col("signature")[k] for k in range(i, SIGNATURE, FOLDED)])
+
+    return F.array(*[word(i) for i in range(FOLDED)])
+
+
+def _bits_allow(threshold: Threshold, a: str, b: str, bits: str, words: int) -> Column:
+    """Whether two bitmaps allow a link of sets of sizes ``n<a>`` and ``n<b>``.
 
-    A bit of a that b lacks stands for at least one n-gram of a that b lacks, so no
-    linked pair is lost. A pair carries two bitmaps here, not two sets.
+    A bit of one set that the other lacks stands for at least one n-gram that the
+    other lacks, so no linked pair is lost.
     """
-    for side in ("a", "b"):
-        own = nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("signature").alias(f"bits_{side}"))
-        pairs = pairs.join(own, side)
 
     def shared(x: str, y: str) -> Column:
-        lacking = [F.bit_count(F.col(f"bits_{x}")[i].bitwiseAND(F.bitwise_not(F.col(f"bits_{y}")[i]))) for i in range(SIGNATURE)]
-        return F.col(f"n_{x}") - sum(lacking[1:], lacking[0])
+        lacking = [F.bit_count(F.col(bits + x)[i].bitwiseAND(F.bitwise_not(F.col(bits + y)[i]))) for i in range(words)]
+        return F.col(f"n{x}") - sum(lacking[1:], lacking[0])
 
-    enough = threshold.percent * (F.col("n_a") + F.col("n_b"))
-    return pairs.where(F.least(shared("a", "b"), shared("b", "a")) * (100 + threshold.percent) >= enough).select("a", "b")
+    enough = threshold.percent * (F.col(f"n{a}") + F.col(f"n{b}"))
+    return F.least(shared(a, b), shared(b, a)) * (100 + threshold.percent) >= enough
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame, threshold: Threshold) -> DataFrame:
+    """The pairs (a, b) whose whole bitmaps allow a link; a pair carries two bitmaps here, not two sets."""
+    for side in ("a", "b"):
+        own = nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("signature").alias(f"bits_{side}"))
+        pairs = pairs.join(own, side)
+    return pairs.where(_bits_allow(threshold, "_a", "_b", "bits", SIGNATURE)).select("a", "b")
 
 
 def _may_link(x: np.ndarray, y: np.ndarray, least: int) -> bool:
@@ -252,8 +265,8 @@ def _classified(rows: DataFrame, words: int, threshold: Threshold) -> DataFrame:
     nodes = nodes.agg(first_row, F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("rows"))
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
-    postings = nodes.select("node", "n", F.posexplode("prefix").alias("place", "gram"))
-    shared = cut(postings.groupBy("gram").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
+    postings = nodes.select("node", "n", _folded().alias("bits"), F.posexplode("prefix").alias("place", "gram"))
+    shared = cut(postings.select("gram").groupBy("gram").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
     grams = shared.select("gram")
     buckets = cut(common.likely(postings, F.col("gram"), grams).join(grams, "gram"), "buckets")
     open_pairs = shared.agg(F.sum(F.col("size").cast("double") * (F.col("size") - 1) / 2)).first()[0] or 0
@@ -274,19 +287,22 @@ def _all_links(nodes: DataFrame, rows: DataFrame, buckets: DataFrame, words: int
     another round, or a round leaves more than half of the ``open_pairs`` before it.
     """
 
-    fields = ("node", "n", "place", "component")
+    fields = ("node", "n", "bits", "place", "component")
 
     def member(side: str) -> list[Column]:
         return [F.col(c).alias(c + side) for c in fields]
 
-    def star(state: DataFrame, turn: int) -> DataFrame:
-        order = F.xxhash64("node", "gram", F.lit(turn)) if turn else F.col("n")
-        centre = F.min(F.struct(order.alias("order"), *fields)).alias("c")
-        return state.groupBy("gram").agg(centre).select("gram", *[F.col(f"c.{c}").alias(c + "_v") for c in fields])
+    def centres_of(state: DataFrame, turn: int) -> DataFrame:
+        """STARS members of each bucket: in the first round the one of the smallest set, else by hash."""
+        kinds = [F.xxhash64("node", "gram", F.lit(turn * STARS + k)) if turn + k else F.col("n") for k in range(STARS)]
+        chosen = [F.min(F.struct(kind.alias("order"), *fields)).alias(f"c{k}") for k, kind in enumerate(kinds)]
+        found = state.groupBy("gram").agg(*chosen)
+        each = F.array_distinct(F.array(*[F.struct(*[F.col(f"c{k}.{c}") for c in fields]) for k in range(STARS)]))
+        return found.select("gram", F.explode(each).alias("c")).select("gram", *[F.col(f"c.{c}").alias(c + "_v") for c in fields])
 
     def apart_and_near(u: str, v: str) -> Column:
         near = threshold.can_link(f"n{u}", f"n{v}", f"place{u}", f"place{v}")
-        return (F.col(f"component{u}") != F.col(f"component{v}")) & near
+        return (F.col(f"component{u}") != F.col(f"component{v}")) & near & _bits_allow(threshold, u, v, "bits", FOLDED)
 
     def verified(met: DataFrame) -> DataFrame:
         possible = cut(_possible(met, nodes, threshold), "possible")
@@ -295,10 +311,7 @@ def _all_links(nodes: DataFrame, rows: DataFrame, buckets: DataFrame, words: int
     links = tried = nodes.sparkSession.createDataFrame([], "a bigint, b bigint")
     state = buckets.withColumn("component", F.col("node"))
     for turn in range(ROUNDS):
-        centres = star(state, turn * STARS)
-        for k in range(1, STARS):
-            centres = centres.unionByName(star(state, turn * STARS + k))
-        met = state.select("gram", *member("_u")).join(centres.distinct(), "gram").where(apart_and_near("_u", "_v"))
+        met = state.select("gram", *member("_u")).join(centres_of(state, turn), "gram").where(apart_and_near("_u", "_v"))
         met = met.select(F.least("node_u", "node_v").alias("a"), F.greatest("node_u", "node_v").alias("b")).distinct()
         met = cut(met.join(tried, ["a", "b"], "left_anti"), "pairs")
         found = cut(verified(met), "verified")
@@ -314,7 +327,7 @@ def _all_links(nodes: DataFrame, rows: DataFrame, buckets: DataFrame, words: int
         if left <= STARS * (members or 0) or 2 * left > before:
             break
         open_pairs = left
-    side = state.select(F.col("gram").alias("block"), F.col("node").alias("ord"), "n", "place", "component")
+    side = state.select(F.col("gram").alias("block"), F.col("node").alias("ord"), "n", "bits", "place", "component")
     met = PairRanges(side, side).meet((F.col("ord_a") < F.col("ord_b")) & apart_and_near("_a", "_b"))
     rest = met.select(F.col("ord_a").alias("a"), F.col("ord_b").alias("b")).distinct()
     return links.unionByName(verified(cut(rest.join(tried, ["a", "b"], "left_anti"), "rest")))

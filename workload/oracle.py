@@ -646,4 +646,17 @@ ORACLES: dict[str, str] = {
         """select event_id, scrape_date from clean
         where scrape_date is not null and try_cast(scrape_date as date) is null""",
     ),
+    "days_replaced": _upto(
+        "clean",
+        """select day, case when day in (lo, hi) then 2 else 1 end::bigint as load, kept as rows_expected, kept as rows_found,
+            true as matches, case when kept > 0 then id_sum end as id_sum
+        from (select day, lo, hi, count(event_id) as kept, cast(sum(event_id) as bigint) as id_sum
+            from (select scrape_date as day, lo, hi,
+                    case when scrape_date = lo or (scrape_date = hi and event_id % 2 = 1) then null else event_id end as event_id
+                from clean, (select min(scrape_date) as lo, max(scrape_date) as hi from clean)) group by all)""",
+    ),
+    "q2_of_new_days": _upto(
+        "fact", f"select * from ({_Q2}) where scrape_date in (select date_id from dim_date order by date_id desc limit 3)"
+    ),
+    "weekly_phones_by_sketch": _upto("weekly", "select week_start, category, unique_phones, true as within_error from weekly"),
 }

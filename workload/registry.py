@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from scrapeloom.functions import contact, dates, text
 from scrapeloom.operators import cleaning, common, profiling, quality, resolution, similar_names
-from scrapeloom.plans import reports
+from scrapeloom.plans import increments, reports
 from scrapeloom.plans import star as model
 from scrapeloom.session import cut, shared_dir
 from scrapeloom.sources import daily_csv, tables
+from scrapeloom.sources.daily_table import DailyTable
 
 from .stages import Stages
 
@@ -662,3 +663,52 @@ def fact_ids(s: Stages) -> DataFrame:
     return s.star().fact_scrape.agg(
         F.count(F.lit(1)).alias("row_count"), F.count_distinct("fact_id").alias("fact_ids")
     )
+
+
+# --- days replaced and reports kept up day by day -----------------------------
+
+
+def _scratch(s: Stages, name: str) -> str:
+    return f"{shared_dir(s.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def days_replaced(s: Stages) -> DataFrame:
+    """The clean rows by day; then the first day is emptied and the last one replaced by its even rows."""
+    kept = DailyTable(s.spark, _scratch(s, "daily"))
+    kept.load(s.clean)
+    first, last = s.clean.agg(F.min("scrape_date"), F.max("scrape_date")).first()
+    kept.load(s.clean.where((F.col("scrape_date") == last) & (F.col("event_id") % 2 == 0)), days=[first, last])
+    found = kept.read().groupBy(F.col("scrape_date").alias("found_day")).agg(F.sum("event_id").alias("id_sum"))
+    check = kept.check()
+    return check.join(found, check.day.eqNullSafe(F.col("found_day")), "left").drop("found_day")
+
+
+@query
+def q2_of_new_days(s: Stages) -> DataFrame:
+    """The last three days, each from its own rows and the first days of all entities before it."""
+    fact = s.star().fact_scrape
+    last = s.star().dim_date.orderBy(F.desc("date_id")).limit(3)
+    days = sorted(r.date_id for r in last.select("date_id").toLocalIterator())
+    state = increments.FirstSeen(DailyTable(s.spark, _scratch(s, "first-seen"), "first_day"))
+    state.build(fact.where(F.col("date_id") < days[0]))
+    lines = [cut(state.advance(day, fact.where(F.col("date_id") == day)), "q2-day") for day in days]
+    out = lines[0]
+    for line in lines[1:]:
+        out = out.unionByName(line)
+    return out
+
+
+@query
+def weekly_phones_by_sketch(s: Stages) -> DataFrame:
+    """Exact weekly counts, and whether merged daily sketches come within 3 % of them."""
+    star = s.star()
+    sketches = cut(increments.daily_sketches(star.fact_scrape), "sketches")
+    weeks = star.dim_date.select("date_id", "week_start")
+    estimated = increments.estimated_phones(sketches.join(weeks, "date_id"), "week_start", "category_id")
+    estimated = estimated.join(star.dim_category.withColumnRenamed("category_name", "category"), "category_id")
+    exact = reports.weekly_change(star).select("week_start", "category", "unique_phones")
+    near = F.abs(F.col("estimated_phones") - F.col("unique_phones")) <= 0.03 * F.col("unique_phones")
+    return exact.join(estimated, ["week_start", "category"], "left").select(
+        "week_start", "category", "unique_phones", F.coalesce(near, F.lit(False)).alias("within_error")
+    )

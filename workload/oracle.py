@@ -656,7 +656,8 @@ ORACLES: dict[str, str] = {
                 from clean, (select min(scrape_date) as lo, max(scrape_date) as hi from clean)) group by all)""",
     ),
     "q2_of_new_days": _upto(
-        "fact", f"select * from ({_Q2}) where scrape_date in (select date_id from dim_date order by date_id desc limit 3)"
+        "fact",
+        f"select * from ({_Q2}) where scrape_date in (select date_id from dim_date order by date_id limit 3 offset 1)",
     ),
     "weekly_phones_by_sketch": _upto("weekly", "select week_start, category, unique_phones, true as within_error from weekly"),
 }

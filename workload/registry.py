@@ -686,12 +686,12 @@ def days_replaced(s: Stages) -> DataFrame:
 
 @query
 def q2_of_new_days(s: Stages) -> DataFrame:
-    """The last three days, each from its own rows and the first days of all entities before it."""
+    """The days two to four, each from its own rows and the first days of all entities before it."""
     fact = s.star().fact_scrape
-    last = s.star().dim_date.orderBy(F.desc("date_id")).limit(3)
-    days = sorted(r.date_id for r in last.select("date_id").toLocalIterator())
+    start = s.star().dim_date.orderBy("date_id").limit(4)
+    before, *days = sorted(r.date_id for r in start.select("date_id").toLocalIterator())
     state = increments.FirstSeen(DailyTable(s.spark, _scratch(s, "first-seen"), "first_day"))
-    state.build(fact.where(F.col("date_id") < days[0]))
+    state.build(fact.where(F.col("date_id") <= before))
     lines = [cut(state.advance(day, fact.where(F.col("date_id") == day)), "q2-day") for day in days]
     out = lines[0]
     for line in lines[1:]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scrapeloom.llm import exact_dedup, mixing, near_join, pieces, quality_net
 from scrapeloom.llm.common import table
-from scrapeloom.llm.queries import MIX, PIECES
+from scrapeloom.llm.queries import BEST, MIX, PIECES
 from scrapeloom.session import cut
 
 
@@ -33,7 +33,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of what is left."""
-    return pieces.encode_documents(docs, PIECES, n=2)
+    return pieces.encode_documents(docs, PIECES, n=BEST)
 
 
 STAGES = [

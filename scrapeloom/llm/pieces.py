@@ -5,10 +5,10 @@ from __future__ import annotations
 import copy
 import heapq
 import math
-import re
 from collections import Counter
 from functools import lru_cache
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ FLUSH = 300_000  # distinct units counted before they are handed on
 ROUNDS = 3  # of expectation and maximisation
 
 Path = tuple[float, tuple[int, ...]]
+Change = tuple[int, int, tuple[int, ...]]  # where pieces of the best path are replaced, how many, and by which
+Other = tuple[float, list[Change]]
 
 
 def _classes(joints: set[str]) -> list[str]:
@@ -65,6 +67,7 @@ class Solved:
         self.ids = np.zeros(0, np.int32)
         self.starts = self.counts = np.zeros(0, np.int64)
         self.scores = self.losses = np.zeros(0)
+        self.next: dict[tuple[int, int], list[Path]] = {}  # by unit and n: what its other paths lose, and their ids
 
     def add(self, units: list[str], ids: np.ndarray, counts: np.ndarray, scores: np.ndarray, losses: np.ndarray) -> None:
         self.number.update(zip(units, range(len(self.number), len(self.number) + len(units))))
@@ -74,6 +77,9 @@ class Solved:
         self.scores = np.concatenate([self.scores, scores])
         self.losses = np.concatenate([self.losses, losses])
 
+    def path(self, number: int) -> tuple[int, ...]:
+        return tuple(self.ids[self.starts[number] : self.starts[number] + self.counts[number]].tolist())
+
     def paths(self, numbers: np.ndarray) -> np.ndarray:
         counts = self.counts[numbers]
         return self.ids[np.arange(counts.sum()) + np.repeat(self.starts[numbers] - (np.cumsum(counts) - counts), counts)]
@@ -88,9 +94,10 @@ class Vocabulary:
         joints = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}
         # No piece holds a space after another character or characters of two classes,
         # so a text is a chain of units: spaces with a run of characters of one class.
-        runs = "|".join(f"[{re.escape(c)}]+" for c in _classes(joints))
-        chained = not any(SPACE in p.lstrip(SPACE) for p in pieces)
-        self.unit = re.compile(f"{SPACE}*(?:{runs}{'|' if runs else ''}.)|{SPACE}+" if chained else ".+", re.DOTALL)
+        self.chained = not any(SPACE in p.lstrip(SPACE) for p in pieces)
+        self.char_class = np.zeros(0x110000, np.int32)  # 0: a unit of its own
+        for i, chars in enumerate(_classes(joints)):
+            self.char_class[[ord(c) for c in chars]] = i + 1
         texts = {i: p.replace(SPACE, " ").encode() for p, (i, _) in pieces.items()}
         texts |= {i: bytes([b]) for b, i in enumerate(byte_ids)}
         self.widths = np.array([len(texts.get(i, b"")) for i in range(size)], np.int64)
@@ -156,6 +163,9 @@ class Vocabulary:
         self._width = width
         self._keys = np.array(sorted(children), np.int64)
         self._child = np.array([children[k] for k in self._keys.tolist()], np.int64)
+        first = self._keys[self._keys < width]
+        self._first = np.full(width, -1, np.int64)  # children of the root by symbol
+        self._first[first] = self._child[: len(first)]
         self._ids, self._scores = np.array(ids, np.int64), np.array(scores)
 
     def _spelled(self, char: str) -> tuple[int, ...]:
@@ -295,10 +305,15 @@ class Vocabulary:
         for step in range(self.longest):
             inside = start + step < limit[start]
             start, node = start[inside], node[inside]
-            key = node * self._width + symbols[start + step]
-            at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
-            hit = self._keys[at] == key
-            start, node = start[hit], self._child[at[hit]]
+            if step == 0:
+                child = self._first[symbols[start]]
+                hit = child >= 0
+                start, node = start[hit], child[hit]
+            else:
+                key = node * self._width + symbols[start + step]
+                at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+                hit = self._keys[at] == key
+                start, node = start[hit], self._child[at[hit]]
             ids = self._ids[node]
             piece = ids >= 0
             found.append((start[piece], np.full(piece.sum(), step + 1), ids[piece], self._scores[node[piece]]))
@@ -330,63 +345,106 @@ class Vocabulary:
 
     # Whole texts as chains of units.
 
-    def units(self, text: str) -> list[str]:
-        return self.unit.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    def split(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct units of some texts, the number of each unit in turn, and where the texts end.
 
-    def encode_batch(self, texts: list[str], n: int = 1) -> list[list[tuple[float, np.ndarray]]]:
-        """For each whole text its ``n`` best segmentations as (score, ids), best first.
+        A unit starts with the first of some spaces, or where a character follows one that is
+        neither a space nor of its class.
+        """
+        marked = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
+        joined = "".join(marked)
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        ends = np.cumsum([len(m) for m in marked], dtype=np.int64)
+        starts = np.zeros(len(codes) + 1, bool)
+        if self.chained:
+            space, kind = codes == ord(SPACE), self.char_class[codes]
+            apart = (kind[1:] != kind[:-1]) | (kind[1:] == 0)
+            starts[1:-1] = np.where(space[1:], ~space[:-1], ~space[:-1] & apart)
+        starts[0] = starts[ends] = True
+        bounds = np.flatnonzero(starts)
+        if not len(codes):
+            return [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        widths = 1 + (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000)  # in UTF-8
+        places = np.concatenate([[0], np.cumsum(np.add.reduceat(widths, bounds[:-1], dtype=np.int64))])
+        buffers = [None, pa.py_buffer(places), pa.py_buffer(joined.encode("utf-8", "surrogatepass"))]
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, buffers).dictionary_encode()
+        units = [u.decode("utf-8", "surrogatepass") for u in coded.dictionary.to_pylist()]
+        return units, coded.indices.to_numpy().astype(np.int64), np.searchsorted(bounds, ends)
+
+    def segment_batch(self, texts: list[str], n: int = 1) -> list[tuple[float, np.ndarray, list[Other]]]:
+        """For each whole text the score and ids of its best segmentation, and the second to ``n``-th best.
 
         No piece crosses from one unit into the next, so the best path of a text joins
         the best paths of its units. The n best differ from it only in the n - 1 units
         whose second path loses least; the search runs on those and their paths are
-        combined by score. Units recur, so their best paths are kept.
+        combined by score. Units recur, so their paths are kept.
         """
-        split = [self.units(t) for t in texts]
+        units, index, units_end = self.split(texts)
         if len(self._kept.number) > CACHED_UNITS:
             self._kept = Solved()
-        unseen = list(set(chain.from_iterable(split)).difference(self._kept.number))
         solved = self._kept
+        unseen = [u for u in units if u not in solved.number]
         for lo in range(0, len(unseen), 20_000):
             part = unseen[lo : lo + 20_000]
             solved.add(part, *self.solve(part))
-        numbers = np.fromiter(map(solved.number.__getitem__, chain.from_iterable(split)), np.int64)
+        numbers = np.fromiter(map(solved.number.__getitem__, units), np.int64, len(units))[index]
         ids = solved.paths(numbers)
-        units_end = np.cumsum([len(u) for u in split])
         ids_end = np.concatenate([[0], np.cumsum(solved.counts[numbers])])
+        scores, losses = solved.scores[numbers], solved.losses[numbers]
         results, lo = [], 0
-        for units, hi in zip(split, units_end.tolist()):
-            own = numbers[lo:hi]
-            best = (float(solved.scores[own].sum()), ids[ids_end[lo] : ids_end[hi]])
-            results.append([best, *self._others(units, best, solved.counts[own], solved.losses[own], n)])
+        for hi in units_end.tolist():
+            score = float(scores[lo:hi].sum())
+            others = self._others(units, score, index[lo:hi], numbers[lo:hi], ids_end[lo : hi + 1], losses[lo:hi], n)
+            results.append((score, ids[ids_end[lo] : ids_end[hi]], others))
             lo = hi
         if any(len(u) > LONG_UNIT for u in unseen):
             self._kept = Solved()
         return results
 
-    def _others(self, units, best, counts, losses, n: int) -> list[tuple[float, np.ndarray]]:
-        """The second to n-th best segmentation of a text."""
-        if n == 1 or not units:
+    def _next(self, unit: str, number: int, n: int) -> list[Path]:
+        """The second to ``n``-th best segmentation of a unit: what each adds to the best score, and its ids."""
+        found = self._kept.next.get((number, n))
+        if found is None:
+            chosen = self._kept.path(number)  # of equal totals the search may find another first
+            paths = self.best(unit, n)
+            found = [(p[0] - paths[0][0], p[1]) for p in paths if p[1] != chosen][: n - 1]
+            self._kept.next[number, n] = found
+        return found
+
+    def _others(self, units, score: float, index, numbers, ends, losses, n: int) -> list[Other]:
+        """The second to n-th best segmentation of a text, best first."""
+        if n == 1 or not len(index):
             return []
-        least = [int(losses.argmin())] if n == 2 else np.argsort(losses, kind="stable")[: n - 1].tolist()
-        combined: list[tuple[float, dict[int, tuple[int, ...]]]] = [(0.0, {})]
+        if n == 2:
+            least = [int(losses.argmin())]
+        else:
+            least = np.arange(len(index))
+            if len(index) >= n:
+                least = np.flatnonzero(losses <= np.partition(losses, n - 2)[n - 2])
+            least = least[np.argsort(losses[least], kind="stable")][: n - 1].tolist()
+        combined: list[tuple[float, tuple]] = [(0.0, ())]
         for at in least:
-            paths = self.best(units[at], n)
-            options = [
-                (gain + p[0] - paths[0][0], {**chosen, at: p[1]} if i else chosen)
-                for gain, chosen in combined
-                for i, p in enumerate(paths)
-            ]
-            combined = heapq.nsmallest(n, options, key=lambda x: -x[0])
-        score, ids = best
-        ends = np.concatenate([[0], np.cumsum(counts)])
-        found = []
-        for gain, chosen in combined[1:]:
-            parts, done = [], 0
-            for at in sorted(chosen):
-                parts += [ids[done : ends[at]], np.array(chosen[at], np.int32)]
-                done = ends[at + 1]
-            found.append((score + gain, np.concatenate([*parts, ids[done:]])))
-        return found
+            if len(combined) == n and combined[-1][0] >= -losses[at]:
+                break  # neither this unit nor a later one leads to a better segmentation
+            paths = self._next(units[index[at]], int(numbers[at]), n)
+            options = combined + [(gain + more, (*chosen, (at, path))) for gain, chosen in combined for more, path in paths]
+            options.sort(key=itemgetter(0), reverse=True)
+            combined = options[:n]
+        start = int(ends[0])
+        return [
+            (
+                score + gain,
+                [(int(ends[at]) - start, int(ends[at + 1] - ends[at]), path) for at, path in sorted(chosen)],
+            )
+            for gain, chosen in combined[1:]
+        ]
+
+    def encode_batch(self, texts: list[str], n: int = 1) -> list[list[tuple[float, np.ndarray]]]:
+        """For each whole text its ``n`` best segmentations as (score, ids), best first."""
+        return [
+            [(score, ids), *[(other, _changed(ids, changes)) for other, changes in others]]
+            for score, ids, others in self.segment_batch(texts, n)
+        ]
 
     def encode(self, text: str, n: int = 1) -> list[tuple[float, list[int]]]:
         return [(score, ids.tolist()) for score, ids in self.encode_batch([text], n)[0]]
@@ -394,11 +452,26 @@ class Vocabulary:
     def decode(self, ids) -> str:
         """The text of piece ids; ids outside the vocabulary give nothing."""
         ids = np.asarray(ids, np.int64).reshape(-1)
-        ids = ids[(ids >= 0) & (ids < self.size)]
+        return self.decode_batch([ids[(ids >= 0) & (ids < self.size)]])[0]
+
+    def decode_batch(self, paths: list[np.ndarray]) -> list[str]:
+        """The texts of lists of ids of the vocabulary."""
+        ids = np.concatenate(paths).astype(np.int64)
         widths = self.widths[ids]
-        place = np.arange(widths.sum()) + np.repeat(self.starts[ids] - (np.cumsum(widths) - widths), widths)
+        ends = np.concatenate([[0], np.cumsum(widths)])
+        place = np.arange(ends[-1]) + np.repeat(self.starts[ids] - ends[:-1], widths)
         data = self.pool[place].tobytes()
-        return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
+        bounds = ends[np.cumsum([0, *map(len, paths)])].tolist()
+        parts = (data[a:b] for a, b in zip(bounds, bounds[1:]))
+        return [(p[1:] if p[:1] == b" " else p).decode("utf-8", "replace") for p in parts]
+
+
+def _changed(ids: np.ndarray, changes: list[Change]) -> np.ndarray:
+    parts, done = [], 0
+    for start, length, pieces in changes:
+        parts += [ids[done:start], np.array(pieces, np.int32)]
+        done = start + length
+    return np.concatenate([*parts, ids[done:]])
 
 
 @lru_cache(maxsize=2)
@@ -430,8 +503,10 @@ def _count_units(rows: DataFrame, path: str) -> DataFrame:
 
         known = vocabulary(path)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                counts.update(known.units(text or ""))
+            for start in range(0, batch.num_rows, 512):
+                units, index, _ = known.split([t or "" for t in batch.column("text").slice(start, 512).to_pylist()])
+                for unit, n in zip(units, np.bincount(index, minlength=len(units)).tolist()):
+                    counts[unit] += n
                 if len(counts) > FLUSH:
                     yield flush()
         if counts:
@@ -470,7 +545,27 @@ def fit(df: DataFrame, path: str, text_col: str = "text", rounds: int = ROUNDS)
     return found
 
 
-SCHEMA = "doc_id bigint, n_pieces int, n_paths int, score double, runner_up double, pieces array<int>, round_trip boolean"
+SCHEMA = (
+    "doc_id bigint, n_pieces int, n_paths int, score double, runner_up double, pieces array<int>, round_trip boolean, "
+    "others array<struct<score:double,changes:array<struct<start:int,length:int,pieces:array<int>>>>>"
+)
+
+
+def _lists(parts: list, values: pa.Array) -> pa.ListArray:
+    """``values`` as lists of the lengths of ``parts``."""
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]), pa.int32()), values)
+
+
+def _listed(others: list[list[Other]]) -> pa.ListArray:
+    """The further segmentations of some texts as a column."""
+    each = list(chain.from_iterable(others))
+    changes = list(chain.from_iterable(c for _, c in each))
+    pieces = [p for _, _, p in changes]
+    replaced = _lists(pieces, pa.array(list(chain.from_iterable(pieces)), pa.int32()))
+    places = [pa.array([c[i] for c in changes], pa.int32()) for i in (0, 1)]
+    made = pa.StructArray.from_arrays([*places, replaced], ["start", "length", "pieces"])
+    scores = pa.array([s for s, _ in each], pa.float64())
+    return _lists(others, pa.StructArray.from_arrays([scores, _lists([c for _, c in each], made)], ["score", "changes"]))
 
 
 def encode_documents(
@@ -485,7 +580,9 @@ def encode_documents(
 
     Returns ``doc_id, n_pieces, n_paths`` (up to ``n`` segmentations found), ``score``
     and ``runner_up`` (scores of the best and second best, null where there is none),
-    ``pieces`` and ``round_trip`` (decoding gives the text back). Scores are sums of
+    ``pieces`` and ``round_trip`` (decoding gives the text back). ``others`` holds the
+    second to ``n``-th best segmentation, best first: the score, and which stretches of
+    ``pieces`` (from ``start``, ``length`` pieces) it replaces by which pieces. Scores are sums of
     the pieces' natural log-probabilities, by ``uses`` or else fitted to ``df`` itself
     (see :func:`fit`); a character outside of the vocabulary is spelled in bytes.
 
@@ -504,24 +601,19 @@ def encode_documents(
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
             texts = [t or "" for t in part.column("text").to_pylist()]
-            found = known.encode_batch(texts, n)
-            paths = [ids for ((_, ids), *_) in found]
-            sizes = [len(ids) for ids in paths]
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
-                pa.array(np.concatenate(paths)),
-            )
+            scores, paths, others = zip(*known.segment_batch(texts, n))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
-                    pa.array(sizes, pa.int32()),
-                    pa.array([len(f) for f in found], pa.int32()),
-                    pa.array([f[0][0] for f in found], pa.float64()),
-                    pa.array([f[1][0] if len(f) > 1 else None for f in found], pa.float64()),
-                    lists,
-                    pa.array([known.decode(p) == t for p, t in zip(paths, texts)]),
+                    pa.array([len(p) for p in paths], pa.int32()),
+                    pa.array([1 + len(o) for o in others], pa.int32()),
+                    pa.array(scores, pa.float64()),
+                    pa.array([o[0][0] if o else None for o in others], pa.float64()),
+                    _lists(paths, pa.array(np.concatenate(paths))),
+                    pa.array([p == t for p, t in zip(known.decode_batch(paths), texts)]),
+                    _listed(others),
                 ],
-                ["doc_id", "n_pieces", "n_paths", "score", "runner_up", "pieces", "round_trip"],
+                ["doc_id", "n_pieces", "n_paths", "score", "runner_up", "pieces", "round_trip", "others"],
             )
 
     return common.arrow_map(rows, work, SCHEMA)

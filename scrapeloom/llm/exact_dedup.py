@@ -83,6 +83,10 @@ def drop_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     digest = F.sha2(normalised(F.col("row")[f"_{names.index(text_col)}"]), 256)
     packed = packed.withColumn("key", F.struct(F.col("row")[f"_{names.index(id_col)}"].alias("id"), digest.alias("digest")))
     listed = fates.select(F.struct(F.col("doc_id").alias("id"), F.col("text_sha256").alias("digest")).alias("key"), "kept")
-    single = packed.join(listed, "key", "left_anti")
-    repeated = packed.join(listed.where("kept"), "key", "left_semi").groupBy("key").agg(F.first("row").alias("row"))
-    return common.unpacked(single.select("row").unionByName(repeated.select("row")), names)
+    # whole rows are shuffled only where a bitmap says that their key may be listed
+    marked = common.marked_likely(packed, F.col("key"), listed.select("key"))
+    met = marked.where("_likely").drop("_likely").join(listed, "key", "left")
+    met = cut(met.where("kept is null or kept"), "met")
+    single = marked.where("not _likely").select("row").unionByName(met.where("kept is null").select("row"))
+    repeated = met.where("kept").groupBy("key").agg(F.first("row").alias("row"))
+    return common.unpacked(single.unionByName(repeated.select("row")), names)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +17,7 @@ from . import common
 ROW = ("doc_id", "absent", "value", "digest")  # the last three tell rows of different id or text apart
 SKETCH = 1 << 17  # counters of the frequency sketch
 STARS, ROUNDS = 2, 3  # members of a bucket that all others meet first, and how often
-SIGNATURE, FOLDED = 16, 4  # 64-bit words of a node's bitmap of n-grams, and of the shorter one in buckets
+FOLDED = 4  # 64-bit words of a node's bitmap of n-grams as it is in buckets, and the fewest of a whole one
 HELD = 1 << 20  # hashes counted together
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
@@ -58,6 +57,10 @@ class Threshold:
         """Smallest overlap of linked sets of these sizes."""
         return -(-self.percent * (a + b) // (100 + self.percent))
 
+    def few_apart(self, apart, a, b):
+        """Whether sets of these sizes may link of which at least ``apart`` n-grams are in one only."""
+        return apart * (100 + self.percent) <= (a + b) * (100 - self.percent)
+
     def can_link(self, a: str, b: str, at_a: str, at_b: str) -> Column:
         """Length and positional filter for sets of sizes a, b that share the n-grams at these places."""
         size_a, size_b = F.col(a).cast("bigint"), F.col(b).cast("bigint")
@@ -71,10 +74,16 @@ def _hash_bucket(values: np.ndarray) -> np.ndarray:
 
 
 def _bitmap(values: np.ndarray) -> np.ndarray:
-    """One bit for the hash of every n-gram; two sets with few common bits share few n-grams."""
-    bits = np.zeros(64 * SIGNATURE, bool)
-    bits[(values >> np.uint64(20)).astype(np.int64) % len(bits)] = True
-    return np.packbits(bits).view(np.int64)
+    """Whether an odd number of n-grams has each hash: two to four bits for an n-gram, by powers of two.
+
+    A bit that differs in two sets stands for at least one n-gram that only one of
+    them has, also after both bitmaps are folded by exclusive or.
+    """
+    size = 64 * FOLDED
+    while size < 2 * len(values):
+        size *= 2
+    bits = np.bincount((values >> np.uint64(20)).astype(np.int64) % size, minlength=size) & 1
+    return np.packbits(bits.astype(bool)).view(np.int64)
 
 
 def _texts(batch: pa.RecordBatch, column: str = "text"):
@@ -126,7 +135,7 @@ def _signatures(rows: DataFrame, words: int, threshold: Threshold, counts: np.nd
                 prefixes.append(found)
         ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes).view(np.int64)))
-        steps = pa.array(np.arange(len(bitmaps) + 1, dtype=np.int32) * SIGNATURE)
+        steps = pa.array(np.cumsum([0, *map(len, bitmaps)]).astype(np.int32))
         signature = pa.ListArray.from_arrays(steps, pa.array(np.concatenate(bitmaps)))
         yield pa.RecordBatch.from_arrays(
             [*[batch.column(c) for c in ROW], pa.array(sizes, pa.int64()), pa.array(keys, pa.string()), lists, signature],
@@ -162,33 +171,43 @@ def _sets_of(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int) ->
 
 def _folded() -> Column:
     """The bitmap of a node, folded to FOLDED words."""
-    def word(i: int) -> Column:
-        return reduce(Column.bitwiseOR, [F.col("signature")[k] for k in range(i, SIGNATURE, FOLDED)])
 
-    return F.array(*[word(i) for i in range(FOLDED)])
+    def word(k: int) -> Column:
+        own = F.filter("signature", lambda _, i: i % FOLDED == k)
+        return F.aggregate(own, F.lit(0).cast("bigint"), lambda folded, x: folded.bitwiseXOR(x))
 
+    return F.array(*[word(k) for k in range(FOLDED)])
 
-def _bits_allow(threshold: Threshold, a: str, b: str, bits: str, words: int) -> Column:
-    """Whether two bitmaps allow a link of sets of sizes ``n<a>`` and ``n<b>``.
 
-    A bit of one set that the other lacks stands for at least one n-gram that the
-    other lacks, so no linked pair is lost.
-    """
-
-    def shared(x: str, y: str) -> Column:
-        lacking = [F.bit_count(F.col(bits + x)[i].bitwiseAND(F.bitwise_not(F.col(bits + y)[i]))) for i in range(words)]
-        return F.col(f"n{x}") - sum(lacking[1:], lacking[0])
-
-    enough = threshold.percent * (F.col(f"n{a}") + F.col(f"n{b}"))
-    return F.least(shared(a, b), shared(b, a)) * (100 + threshold.percent) >= enough
+def _bits_allow(threshold: Threshold, a: str, b: str) -> Column:
+    """Whether the folded bitmaps allow a link of two members of a bucket; no linked pair is lost."""
+    differ = [F.bit_count(F.col(f"bits{a}")[i].bitwiseXOR(F.col(f"bits{b}")[i])) for i in range(FOLDED)]
+    return threshold.few_apart(sum(differ[1:], differ[0]), F.col(f"n{a}"), F.col(f"n{b}"))
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame, threshold: Threshold) -> DataFrame:
-    """The pairs (a, b) whose whole bitmaps allow a link; a pair carries two bitmaps here, not two sets."""
+    """The pairs (a, b) whose whole bitmaps allow a link; a pair carries two bitmaps here, not two sets.
+
+    The longer bitmap is folded to the length of the shorter one.
+    """
     for side in ("a", "b"):
         own = nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("signature").alias(f"bits_{side}"))
         pairs = pairs.join(own, side)
-    return pairs.where(_bits_allow(threshold, "_a", "_b", "bits", SIGNATURE)).select("a", "b")
+
+    def work(batch: pa.RecordBatch):
+        sizes = [batch.column(c).to_numpy() for c in ("n_a", "n_b")]
+        lists = [batch.column(c) for c in ("bits_a", "bits_b")]
+        (xs, at_x), (ys, at_y) = ((c.values.to_numpy().view(np.uint64), c.offsets.to_numpy()) for c in lists)
+        apart = np.zeros(batch.num_rows, np.int64)
+        for i in range(batch.num_rows):
+            x, y = xs[at_x[i] : at_x[i + 1]], ys[at_y[i] : at_y[i + 1]]
+            width = min(len(x), len(y))
+            x, y = (np.bitwise_xor.reduce(w.reshape(-1, width)) if len(w) > width else w for w in (x, y))
+            apart[i] = np.bitwise_count(x ^ y).sum()
+        chosen = pa.array(threshold.few_apart(apart, *sizes))
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(chosen), batch.column("b").filter(chosen)], ["a", "b"])
+
+    return common.arrow_map(pairs, work, "a bigint, b bigint")
 
 
 def _may_link(x: np.ndarray, y: np.ndarray, least: int) -> bool:
@@ -302,7 +321,7 @@ def _all_links(nodes: DataFrame, rows: DataFrame, buckets: DataFrame, words: int
 
     def apart_and_near(u: str, v: str) -> Column:
         near = threshold.can_link(f"n{u}", f"n{v}", f"place{u}", f"place{v}")
-        return (F.col(f"component{u}") != F.col(f"component{v}")) & near & _bits_allow(threshold, u, v, "bits", FOLDED)
+        return (F.col(f"component{u}") != F.col(f"component{v}")) & near & _bits_allow(threshold, u, v)
 
     def verified(met: DataFrame) -> DataFrame:
         possible = cut(_possible(met, nodes, threshold), "possible")

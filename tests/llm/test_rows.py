@@ -107,3 +107,29 @@ def test_bitmaps_lose_no_linked_pair(spark):
         if limit.linked(both, len(found[i]), len(found[j])):
             linked.add((i, j))
     assert linked and linked <= passed and len(passed) < len(every) / 2
+
+
+def test_bitmaps_tell_near_misses_apart(spark):
+    """Short and long sets: pairs just above the limit pass, also between bitmaps of two lengths; most below it do not."""
+    rng = np.random.default_rng(7)
+    limit = near_join.Threshold(85)
+    rows, links, misses = [], [], []
+    for n in (120, 127, 1000, 4090):
+        base = np.unique(rng.integers(0, 1 << 62, 2 * n).astype(np.uint64) * np.uint64(2))
+        for other in range(20):
+            apart = n // 14 if other < 10 else n // 8  # of both sets; similarity 0.87 and 0.78
+            grown = (n + apart + other % 10, n - apart // 2)[other % 2]
+            found = [base[:n], base[apart : apart + grown]]
+            both = len(np.intersect1d(*found))
+            (links if limit.linked(both, n, len(found[1])) else misses).append((len(rows), len(rows) + 1))
+            rows += [(len(rows) + i, len(f), near_join._bitmap(f).tolist()) for i, f in enumerate(found)]
+    nodes = spark.createDataFrame(rows, "node bigint, n bigint, signature array<bigint>")
+    pairs = spark.createDataFrame(links + misses, "a bigint, b bigint")
+    passed = {tuple(r) for r in near_join._possible(pairs, nodes, limit).collect()}
+    assert len(links) >= 20 and set(links) <= passed
+    assert len(misses) >= 20 and len(passed & set(misses)) < len(misses) / 4
+    assert len({len(r[2]) for r in rows}) > 3
+    short = nodes.select("node", "n", near_join._folded().alias("bits"))
+    for side in ("a", "b"):
+        pairs = pairs.join(short.select(*[F.col(c).alias(c if c == "node" else f"{c}_{side}") for c in short.columns]).withColumnRenamed("node", side), side)
+    assert set(links) <= {tuple(r) for r in pairs.where(near_join._bits_allow(limit, "_a", "_b")).select("a", "b").collect()}

@@ -282,9 +282,10 @@ def _classified(rows: DataFrame, words: int, threshold: Threshold) -> DataFrame:
     nodes = signed.where("n > 0").groupBy("key", "n", "prefix", "signature")
     first_row = F.min(F.struct(*ROW[1:])).alias("first")
     nodes = nodes.agg(first_row, F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("rows"))
-    nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    # bitmaps are folded here, once for each node and not for each of its n-grams
+    nodes = cut(nodes.withColumns({"node": F.monotonically_increasing_id(), "bits": _folded()}), "nodes")
 
-    postings = nodes.select("node", "n", _folded().alias("bits"), F.posexplode("prefix").alias("place", "gram"))
+    postings = nodes.select("node", "n", "bits", F.posexplode("prefix").alias("place", "gram"))
     shared = cut(postings.select("gram").groupBy("gram").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "shared")
     grams = shared.select("gram")
     buckets = cut(common.likely(postings, F.col("gram"), grams).join(grams, "gram"), "buckets")

@@ -228,3 +228,53 @@ def test_threshold_limits(spark):
     with pytest.raises(ValueError):
         NameJoin(frame(spark, ["a"]), 60)
     assert clusters(spark, ["b", "a"], 100) == {"a": "a", "b": "b"}
+
+
+def test_counts_of_characters_lose_no_pair(spark):
+    """Characters of several bytes and ones that come more often than their bits count, with edits anywhere."""
+    rng = random.Random(11)
+    stems = ["a" * 30 + "bé" * 6, "ÄÖÜß straße 😀😀 und noch 😀 mehr", "1010101010 2020202020 qaqaqa", "xyz", "mississippi missouri"]
+    names = list(dict.fromkeys(stems + [edit(rng, rng.choice(stems)) for _ in range(110)]))
+    expected = {
+        (j, i)
+        for j in range(1, len(names) + 1)
+        for i in range(1, j)
+        if distance(names[j - 1], names[i - 1]) <= (len(names[j - 1]) + len(names[i - 1])) // 10
+    }
+    assert len(expected) > 300
+    for limit in (100, 25):
+        found = similar_names.similar_pairs(frame(spark, names), 90, limit).collect()
+        assert {(r.later, r.earlier) for r in found} == expected and len(found) == len(expected)
+        assert all((r.later_name, r.earlier_name) == (names[r.later - 1], names[r.earlier - 1]) for r in found)
+    assert clusters(spark, names) == walk(names, 90)
+
+
+def test_pieces_are_made_by_all_tasks(spark):
+    """Names that lie in one file do not leave the hundreds of pieces of each to one task."""
+    tasks, write = [], similar_names.cut
+
+    def watched(df, label="cut"):
+        if label == "pieces":
+            tasks.append(df.rdd.getNumPartitions())
+        return write(df, label)
+
+    similar_names.cut = watched
+    try:
+        similar_names.similar_pairs(frame(spark, sample(8, 60)).coalesce(1)).collect()
+    finally:
+        similar_names.cut = write
+    assert len(tasks) == 2 and min(tasks) >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_pairs_that_share_a_piece_only_are_told_apart_by_counts(spark):
+    """Names that end alike: their edits are not counted one by one."""
+    rng = random.Random(12)
+    names = ["".join(rng.choice("abcdefghijklmnopqrstuvwx") for _ in range(40)) + " incorporated" for _ in range(60)]
+    join = NameJoin(frame(spark, names), 90, swaps=True)
+    ranges = join.ranges(frame(spark, names))
+    conditions, meet = [], ranges.meet
+    ranges.meet = lambda condition: conditions.append(condition) or meet(condition)
+    assert join.within(ranges).count() == 0
+    counts = conditions[0].split(" and if(")[0]
+    assert "levenshtein" not in counts and ranges.pairs > 2000
+    assert meet(counts).count() < ranges.pairs / 10
